@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import small_batches, table, text_or_empty
+from spanweave.llm.common import python_ready, table, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,7 @@ def format_chat(rows: DataFrame, template: Template = Template()) -> DataFrame:
     rows without conv_id are one conversation. Other columns aren't read. An
     empty table has no segments.
     """
-    small_batches(rows.sparkSession)
+    python_ready(rows.sparkSession)
     ordered = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", text_or_empty("role").alias("role"), text_or_empty("text").alias("text")).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import small_batches, table, text_or_empty
+from spanweave.llm.common import python_ready, table, text_or_empty
 
 # Phrases and the labels they give.
 PHRASES = {
@@ -156,7 +156,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrase
     and 0.75 to 1 with a template, by the share of the text that it covers.
     One pass without a shuffle; other columns aren't read.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

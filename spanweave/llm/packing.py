@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import WordCache, chunks, small_batches, table, text_or_empty
+from spanweave.llm.common import WordCache, chunks, python_ready, table, text_or_empty
 
 CAPACITY, GRAIN, END_ID = 2048, 256, 1
 #: Units that a worker remembers
@@ -149,7 +149,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, id_col: str
     that a partition done again after a loss gives the same. An empty table
     gives no pieces. Columns other than the two aren't read.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa.from_numpy_dtype(np.int64) if kind == "bigint" else None
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import chunks, small_batches, table, text_or_empty
+from spanweave.llm.common import chunks, python_ready, table, text_or_empty
 
 MARK = "▁"
 LONG = 64
@@ -209,7 +209,7 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     One pass without a shuffle; a worker holds one batch of texts and a cache
     of bounded size. Other columns aren't read.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import chunks, small_batches, table, text_or_empty, without
+from spanweave.llm.common import chunks, python_ready, table, text_or_empty, without
 
 #: The bounded sample that the machine learns from: documents a class, and characters of text altogether
-SAMPLE_ROWS, SAMPLE_CHARS = {1: 2000, 0: 6000}, 40_000_000
+SAMPLE_ROWS, SAMPLE_CHARS = {1: 1500, 0: 4500}, 24_000_000
 LANDMARKS = {"toxic": 56, "clean": 20}
 #: Decay of a subsequence for each letter it spans, the widest span, the kernel value below which words count as unrelated, the
 #: power that sharpens it, the value from which two landmarks are one, and slack for subsequences that a word repeats
@@ -229,24 +229,26 @@ def train(docs: list[tuple[int, str]]) -> tuple:
     vocabulary = sorted({w for _, text in split for s in text for w in s})
     place = {w: k for k, w in enumerate(vocabulary)}
     words = kernel(letters(vocabulary)) @ half
-    x, doc, label = [], [], []
+    related = words.any(axis=1)
+    x, doc, label, times = [], [], [], []
     for k, (y, text) in enumerate(split):
-        rows = np.array([words[[place[w] for w in s]].sum(0) for s in text] or [np.zeros(len(landmarks))])
-        x.append(rows)
-        doc += [k] * len(rows)
+        # sentences without a related word are all the same point
+        own = [at for s in text if related[at := [place[w] for w in s]].any()]
+        x += [words[at].sum(0) for at in own] + [np.zeros(len(landmarks))]
+        doc += [k] * (len(own) + 1)
+        times += [1] * len(own) + [max(1, len(text) - len(own))]
         label.append(y)
-    x, doc, label = np.concatenate(x), np.array(doc), np.array(label)
+    x, doc, label, times = np.array(x), np.array(doc), np.array(label), np.array(times, dtype=float)
     starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     toxic = label[doc] == 1
     # in the first round a toxic document's worst sentence is the one nearest to the toxic landmarks
     weight, bias = half @ np.append(np.ones(min(LANDMARKS["toxic"], len(landmarks))), np.zeros(max(0, len(landmarks) - LANDMARKS["toxic"])))[: len(landmarks)], 0.0
     for _ in range(ROUNDS):
         margin = x @ weight + bias
-        best = np.maximum.reduceat(margin, starts)
         worst = np.array([s + int(np.argmax(margin[s:e])) for s, e in zip(starts, np.append(starts[1:], len(doc)), strict=True)])
         use = np.concatenate([worst[label == 1], np.flatnonzero(~toxic)])
         y = np.where(toxic[use], 1.0, -1.0)
-        cost = np.where(y > 0, (~toxic).sum() / max(1, (label == 1).sum()) / 4, 1.0)
+        cost = np.where(y > 0, times[~toxic].sum() / max(1, (label == 1).sum()) / 4, times[use])
         weight, bias = squared_hinge(x[use], y, cost / cost.sum())
     own = (words @ weight).tolist()
     rows = np.array([summary([[own[place[w]] for w in s] for s in text], bias) for _, text in split])
@@ -327,7 +329,7 @@ def score_toxicity(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_c
     without any related word. Rows that repeat are scored alike. Input columns
     named like an added one are replaced. One pass without a shuffle.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     docs = without(docs, *ADDED)
     docs = docs.select(*(docs.columns if keep is None else keep), text_or_empty(text_col).alias("__text"))
     names = docs.columns[:-1]
