@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanweave.llm import chat_format, exact_dedup, licenses, mix_sources, packing, token_counts, toxicity
+from spanweave.llm import chat_format, exact_dedup, jaccard_join, licenses, mix_sources, packing, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_token_counts": token_counts.op5,
         "op6_packing": packing.op6,
         "op7_exact_dedup": exact_dedup.op7,
+        "op8_ngram_jaccard": jaccard_join.op8,
         "op9_licenses": licenses.op9,
     }
 
