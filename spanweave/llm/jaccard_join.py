@@ -10,12 +10,13 @@ beyond those needed allow for leaving out signatures of fewer than ``FEW``
 members, which unrelated sets share too; a set with more such groups than that
 sends out all its signatures, so that nothing is lost.
 
-Sets that share a signature are candidates through the signature's first set,
-and candidates' components are what is compared: in blocks of bounded size,
-every block against every other of its component, by parity sketches (their
-distance bounds the symmetric difference from below), then exactly. Equal sets
-count as one node from the start. No pairs are written, only links that join
-two groups of a block.
+Of up to ``SMALL`` sets that share a signature all pairs are candidates, and
+parity sketches, whose distance bounds the symmetric difference from below,
+let few pass that aren't linked. More sets than that are tied to the
+signature's first one. The components of both kinds of ties are then compared
+exactly: in blocks of bounded size, every block against every other of its
+component. Equal sets count as one node from the start, so the pairs of a
+group of copies are never written, only links that join two groups of a block.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from spanweave.scratch import Scratch
 WORDS, PERCENT = 4, 85
 #: Members below which a signature is left out, and spare groups for that, as a share of the groups needed
 FEW, SPARE = 2, 0.12
+#: Sets of a signature whose pairs are candidates one by one
+SMALL = 8
 #: Sets in a block, bits of a parity sketch, bits of the filter that finds candidates' texts again
 BLOCK, SKETCH, FILTER_BITS = 512, 1024, 1 << 23
 #: Words whose hashes a worker remembers, and sets whose signatures it has sent out
@@ -63,16 +66,26 @@ class Shingler:
             self.known.clear()
             new = distinct
         self.known.update((w, xxhash.xxh64_intdigest(w)) for w in new)
-        return [self.shingles(np.fromiter(map(self.known.__getitem__, w), dtype=np.uint64, count=len(w))) for w in split]
-
-    def shingles(self, h: np.ndarray) -> np.ndarray:
-        n = min(len(h), self.words)
-        if not n:
-            return h
-        total = np.full(len(h) - n + 1, n, dtype=np.uint64)
+        sizes = np.array([len(w) for w in split])
+        h = np.fromiter((self.known[x] for w in split for x in w), dtype=np.uint64, count=int(sizes.sum()))
+        rolled = self.rolled(h, self.words)
+        starts = np.cumsum(sizes) - sizes
+        return [distinct_sorted(rolled[a : a + n - self.words + 1] if n >= self.words else self.rolled(h[a : a + n], n)) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+
+    def rolled(self, h: np.ndarray, n: int) -> np.ndarray:
+        """A hash of each run of n words; none of no words."""
+        size = len(h) - n + 1
+        if n == 0 or size <= 0:
+            return h[:0]
+        total = np.full(size, n, dtype=np.uint64)
         for k in range(n):
-            total = mix(total + h[k : len(h) - n + 1 + k] * self.odd[k])
-        return np.unique(total)
+            total += h[k : k + size] * self.odd[k]
+        return mix(total)
+
+
+def distinct_sorted(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.append(True, h[1:] != h[:-1])] if len(h) else h
 
 
 def node_of(s: np.ndarray) -> int:
@@ -133,15 +146,15 @@ def shingler(words: int) -> Shingler:
 
 
 def node_table(texts: DataFrame, words: int) -> DataFrame:
-    """(id, node, n) of each row of texts (id, text); an empty set has no node."""
+    """(id, node, n, sketch) of each row of texts (id, text); an empty set has no node."""
     kind = texts.schema[0].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             sets = [s for run in chunks(batch.column(1).to_pylist()) for s in shingler(words).sets(run)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names=["id", "node", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], names=["id", "node", "n", "sketch"])
 
-    return texts.mapInArrow(run, f"id {kind}, node long, n long")
+    return texts.mapInArrow(run, f"id {kind}, node long, n long, sketch binary")
 
 
 def signature_rows(texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -194,17 +207,30 @@ def node_filter(nodes: DataFrame) -> bytes:
     return bytes(out)
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Bit b of a set's sketch: whether an odd number of its members falls on b."""
-    odd = np.array([np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1 for s in sets], dtype=np.uint8)
-    return np.packbits(odd, axis=1).view(np.uint64)
+def sketch(s: np.ndarray) -> bytes:
+    """Bit b: whether an odd number of members falls on b."""
+    return np.packbits((np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1).astype(np.uint8)).tobytes()
+
+
+def near_pairs(pairs: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of the pairs (u, v, n, m, a, b) whose sizes and sketches a link allows."""
+
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64) for k in (4, 5))
+            apart = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+            fine = pa.array((apart <= (n + m) * (100 - percent) // (100 + percent)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+            yield batch.select(["u", "v"]).filter(fine)
+
+    return pairs.select("u", "v", "n", "m", "a", "b").mapInArrow(run, "u long, v long")
 
 
 def links_in_cell(rows: list[tuple], across: bool, percent: int) -> list[tuple[int, int]]:
     """Links that join all groups of a cell's sets; across: only between its two blocks. rows: (node, block, n, members)."""
     rows = sorted(rows, key=lambda r: r[2])
     sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
-    sizes, blocks, sk = np.array([r[2] for r in rows]), np.array([r[1] for r in rows]), sketches(sets)
+    sizes, blocks, sk = np.array([r[2] for r in rows]), np.array([r[1] for r in rows]), np.frombuffer(b"".join(map(sketch, sets)), dtype=np.uint64).reshape(len(sets), -1)
     root = np.arange(len(rows))
     out = []
     for a in range(len(rows) - 1):
@@ -262,8 +288,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = scratch.save(node_table(texts, words))
 
     same = Window.partitionBy("sig").orderBy("node")
-    stars = signature_rows(texts, words, percent).repartition("sig").withColumn("hub", F.first("node").over(same)).filter("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
-    members = scratch.save(connected_components(stars.distinct(), scratch))
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shared = signature_rows(texts, words, percent).repartition("sig").withColumns({"hub": F.first("node").over(whole), "last": F.last("node").over(whole), "sets": F.count(F.lit(1)).over(whole)}).filter("hub != last")
+    before = F.when(F.col("sets") <= SMALL, F.collect_set("node").over(same.rowsBetween(1 - SMALL, -1))).otherwise(F.array("hub"))
+    ties = scratch.save(shared.withColumn("before", before).select(F.col("node").alias("u"), F.explode("before").alias("v"), (F.col("sets") <= SMALL).alias("pair")).filter("u != v").distinct())
+    own = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("a"))
+    other = own.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("a").alias("b"))
+    pairs = ties.filter("pair").join(own.withColumnRenamed("node", "u"), "u").join(other, "v")
+    candidates = scratch.save(near_pairs(pairs, percent).unionByName(ties.filter("NOT pair").select("u", "v")))
+    members = scratch.save(connected_components(candidates, scratch))
 
     sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     placed = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
