@@ -33,9 +33,9 @@ from spanweave.scratch import Scratch
 #: Shingle width and the link rule 100 * intersection >= PERCENT * union of the registered query
 WORDS, PERCENT = 4, 85
 #: Members below which a signature is left out, and spare groups for that, as a share of the groups needed
-FEW, SPARE = 2, 0.12
+FEW, SPARE = 1, 0.12
 #: Sets of a signature whose pairs are candidates one by one
-SMALL = 8
+SMALL = 16
 #: Sets in a block, bits of a parity sketch, bits of the filter that finds candidates' texts again
 BLOCK, SKETCH, FILTER_BITS = 512, 1024, 1 << 23
 #: Words whose hashes a worker remembers, and sets whose signatures it has sent out
