@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from itertools import combinations
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from spanweave.llm.common import chunks, python_ready, table, text_or_empty, without
 
 #: The bounded sample that the machine learns from: documents a class, and characters of text altogether
-SAMPLE_ROWS, SAMPLE_CHARS = {1: 1500, 0: 4500}, 24_000_000
+SAMPLE_ROWS, SAMPLE_CHARS = {1: 1500, 0: 3000}, 8_000_000
 LANDMARKS = {"toxic": 56, "clean": 20}
 #: Decay of a subsequence for each letter it spans, the widest span, the kernel value below which words count as unrelated, the
 #: power that sharpens it, the value from which two landmarks are one, and slack for subsequences that a word repeats
@@ -83,8 +84,8 @@ class SubsequenceKernel:
         sizes, owner = np.array([len(p) for p in pieces], dtype=np.int64), np.array(owner, dtype=np.int64)
         for low, high in ((4, 8), (9, 11), (12, 15), (16, WINDOW + 2)):
             which = np.flatnonzero((sizes >= low) & (sizes <= high))
-            for start in range(0, len(which), 8000):
-                part = which[start : start + 8000]
+            for start in range(0, len(which), 2000):
+                part = which[start : start + 2000]
                 np.maximum.at(out, owner[part], self.short([pieces[k] for k in part], high))
         return out
 
@@ -133,7 +134,7 @@ def sentences(text: str) -> list[list[str]]:
     out = []
     for line in text.lower().split("\n"):
         words: list[str] = []
-        for w in line.split():
+        for w in map(intern, line.split()):
             words.append(w)
             if w[-1] in ".!?":
                 out.append(words)
