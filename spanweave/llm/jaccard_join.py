@@ -21,9 +21,12 @@ group of copies are never written, only links that join two groups of a block.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm.common import WordCache, chunks, python_ready, table, text_or_empty, without
@@ -38,8 +41,8 @@ FEW, SPARE = 1, 0.12
 SMALL = 16
 #: Sets in a block, bits of a parity sketch, bits of the filter that finds candidates' texts again
 BLOCK, SKETCH, FILTER_BITS = 512, 1024, 1 << 23
-#: Words whose hashes a worker remembers, and sets whose signatures it has sent out
-CACHE, SENT = 500_000, 200_000
+#: Bytes that a worker hashes at a time, texts that it remembers, and signature rows that it looks through at a time
+PIECE, SENT, ROWS = 1 << 17, 200_000, 1 << 16
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -49,28 +52,62 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+class WordHashes:
+    """64-bit hashes of the words of a buffer, found by prefix sums of a polynomial over its bytes.
+
+    A byte's value is random, an upper-case letter's that of the lower-case one.
+    All arithmetic is modulo 2**64, where the odd base has an inverse, so that
+    a word hashes alike wherever it stands.
+    """
+
+    BASE, MASK = 0x9E6C63D0876A9A47, (1 << 64) - 1
+
+    def __init__(self, piece: int):
+        rng = np.random.default_rng(8)
+        self.piece, self.value = piece, rng.integers(1, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+        self.value[ord("A") : ord("Z") + 1] = self.value[ord("a") : ord("z") + 1]
+        self.space = np.zeros(256, dtype=bool)
+        self.space[list(b" \t\n\v\f\r")] = True
+        self.power, self.inverse = (np.cumprod(np.append(np.uint64(1), np.full(piece, x, dtype=np.uint64))) for x in (self.BASE, pow(self.BASE, -1, 1 << 64)))
+
+    def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word starts, and its hash; piece by piece, so that long texts take no more memory."""
+        codes = np.frombuffer(data, dtype=np.uint8)
+        at, sums, scales = [], [], []
+        total, scale, unscale, outside = 0, 1, 1, True
+        for start in range(0, len(codes), self.piece):
+            part = codes[start : start + self.piece]
+            space = self.space[part]
+            edge = np.flatnonzero(space != np.append(outside, space[:-1]))
+            run = np.cumsum(np.append(np.uint64(0), self.value[part] * self.power[: len(part)]))
+            at.append(edge + start)
+            sums.append(run[edge] * np.uint64(scale) + np.uint64(total))
+            scales.append(self.inverse[edge] * np.uint64(unscale))
+            total = (total + int(run[-1]) * scale) & self.MASK
+            scale, unscale = (scale * int(self.power[-1])) & self.MASK, (unscale * int(self.inverse[-1])) & self.MASK
+            outside = bool(space[-1])
+        if not outside:
+            sums.append(np.array([total], dtype=np.uint64))
+        if not sums:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        sums = np.concatenate(sums)
+        return np.concatenate(at)[::2], mix((sums[1::2] - sums[::2]) * np.concatenate(scales)[::2])
+
+
 class Shingler:
     """Sorted 64-bit hashes of a text's distinct shingles; ASCII letters in lower case, words apart by ASCII white space."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, {}
+        self.words, self.word_hashes = words, WordHashes(PIECE)
         self.odd = mix(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def sets(self, texts: list[str]) -> list[np.ndarray]:
-        import xxhash
-
-        split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-        distinct = set().union(*split)
-        new = distinct.difference(self.known)
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = distinct
-        self.known.update((w, xxhash.xxh64_intdigest(w)) for w in new)
-        sizes = np.array([len(w) for w in split])
-        h = np.fromiter((self.known[x] for w in split for x in w), dtype=np.uint64, count=int(sizes.sum()))
+        data = [t.encode("utf-8", "surrogatepass") for t in texts]
+        begins = np.cumsum([0] + [len(d) + 1 for d in data])
+        at, h = self.word_hashes(b"\n".join(data))
+        first = np.searchsorted(at, begins).tolist()
         rolled = self.rolled(h, self.words)
-        starts = np.cumsum(sizes) - sizes
-        return [distinct_sorted(rolled[a : a + n - self.words + 1] if n >= self.words else self.rolled(h[a : a + n], n)) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+        return [distinct_sorted(rolled[a : b - self.words + 1] if b - a >= self.words else self.rolled(h[a:b], b - a)) for a, b in pairwise(first)]
 
     def rolled(self, h: np.ndarray, n: int) -> np.ndarray:
         """A hash of each run of n words; none of no words."""
@@ -145,61 +182,128 @@ def shingler(words: int) -> Shingler:
     return _shinglers.setdefault(words, Shingler(words))
 
 
+def fresh(batch: pa.RecordBatch, sent: WordCache, wanted: np.ndarray | None = None) -> list[str]:
+    """Texts of a batch (text, h) whose hash hasn't been seen before, as far as sent remembers, and is wanted."""
+    new = []
+    hashes = batch.column(1).to_numpy()
+    passed = np.arange(len(hashes)) if wanted is None else np.flatnonzero(wanted[hashes % FILTER_BITS])
+    for k, h in zip(passed.tolist(), hashes[passed].tolist(), strict=True):
+        if h not in sent:
+            sent.room(1)
+            sent[h] = True
+            new.append(k)
+    return batch.column(0).take(pa.array(new, pa.int64())).to_pylist()
+
+
 def node_table(texts: DataFrame, words: int) -> DataFrame:
-    """(id, node, n, sketch) of each row of texts (id, text); an empty set has no node."""
+    """(id, h, node, n, sketch) of each row of texts (id, text, h); an empty set has no node."""
     kind = texts.schema[0].dataType.simpleString()
 
     def run(batches):
+        known = WordCache(SENT // 4)
         for batch in batches:
-            sets = [s for run in chunks(batch.column(1).to_pylist()) for s in shingler(words).sets(run)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], names=["id", "node", "n", "sketch"])
+            hashes = batch.column(2).to_pylist()
+            known.room(len(hashes))
+            first = {h: k for k, h in enumerate(hashes) if h not in known}
+            new = batch.column(1).take(pa.array(list(first.values()), pa.int64())).to_pylist()
+            sets = (s for run in chunks(new) for s in shingler(words).sets(run))
+            known.update((h, (node_of(s) if len(s) else None, len(s), sketch(s))) for h, s in zip(first, sets, strict=True))
+            node, n, bits = zip(*(known[h] for h in hashes), strict=True) if hashes else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary())], names=["id", "h", "node", "n", "sketch"])
 
-    return texts.mapInArrow(run, f"id {kind}, node long, n long, sketch binary")
+    return texts.select("id", "text", "h").mapInArrow(run, f"id {kind}, h long, node long, n long, sketch binary")
 
 
 def signature_rows(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(sig, node) of each set; a task sends a set that it has sent before no second time, as far as it remembers."""
+    """(sig, node) of each set; a task sends a text that it has sent before no second time, as far as it remembers."""
 
     def run(batches):
         enum, sent = PartEnum(percent), WordCache(SENT)
         for batch in batches:
-            for part in chunks(batch.column(0).to_pylist()):
-                sigs, nodes = [], []
-                for s in shingler(words).sets(part):
-                    if len(s) and (node := node_of(s)) not in sent:
-                        sent.room(1)
-                        sent[node] = True
-                        sigs.append(own := enum.signatures(s))
-                        nodes.append(np.full(len(own), node, dtype=np.int64))
-                if sigs:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+            for part in chunks(fresh(batch, sent)):
+                sets = [s for s in shingler(words).sets(part) if len(s)]
+                if sets:
+                    sigs = [enum.signatures(s) for s in sets]
+                    nodes = np.repeat(np.array([node_of(s) for s in sets], dtype=np.int64), [len(x) for x in sigs])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(nodes)], names=["sig", "node"])
+
+    return texts.select("text", "h").mapInArrow(run, "sig long, node long")
+
+
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """The rows of sorted batches (sig, node), some ten thousand at a time; True with the last."""
+    held, n = [], 0
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        n += batch.num_rows
+        if n >= ROWS:
+            yield *map(np.concatenate, zip(*held, strict=True)), False
+            held, n = [], 0
+    yield *(map(np.concatenate, zip(*held, strict=True)) if held else (np.zeros(0, dtype=np.int64),) * 2), True
+
+
+def ties_of(signatures: DataFrame) -> DataFrame:
+    """(u, v, pair) of signatures (sig, node), whose rows stand sorted in their partitions.
+
+    All pairs of the sets of a signature, or, of more than SMALL sets, each
+    set with the first. What is held of a signature between two looks is no
+    more than SMALL rows.
+    """
 
-    return texts.select("text").mapInArrow(run, "sig long, node long")
+    def run(batches):
+        sig, node, large = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), False
+        for more_sig, more_node, last in runs_of(batches):
+            sig, node = np.concatenate([sig, more_sig]), np.concatenate([node, more_node])
+            if not len(sig):
+                continue
+            new = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1]))
+            sig, node = sig[new], node[new]
+            first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+            size = np.diff(np.append(first, len(sig)))
+            is_large = size > SMALL
+            is_large[0] |= large
+            # the last signature may go on: it waits, a large one with its first set alone
+            open_from = len(sig) if last or is_large[-1] else first[-1]
+            own_large, own_first = np.repeat(is_large, size), np.repeat(first, size)
+            place = np.arange(len(sig)) - own_first
+            out = []
+            for back in range(1, SMALL):
+                k = np.flatnonzero((place >= back) & ~own_large)
+                k = k[k < open_from]
+                if not len(k):
+                    break
+                out.append((node[k], node[k - back], np.ones(len(k), dtype=bool)))
+            k = np.flatnonzero(own_large & (place > 0))
+            out.append((node[k], node[own_first[k]], np.zeros(len(k), dtype=bool)))
+            u, v, pair = map(np.concatenate, zip(*out, strict=True))
+            if len(u):
+                once = np.unique(np.column_stack([u, v, pair]), axis=0) if len(u) < ROWS else np.column_stack([u, v, pair])
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(once[:, 0])), pa.array(np.ascontiguousarray(once[:, 1])), pa.array(once[:, 2].astype(bool))], names=["u", "v", "pair"])
+            large = bool(is_large[-1])
+            keep = slice(first[-1], first[-1] + 1) if large else slice(first[-1], None)
+            sig, node = sig[keep], node[keep]
+
+    return signatures.mapInArrow(run, "u long, v long, pair boolean")
 
 
 def set_rows(texts: DataFrame, words: int, wanted: bytes) -> DataFrame:
-    """(node, n, members) of the sets that the filter lets pass."""
+    """(node, n, members) of the texts whose hashes the filter lets pass."""
     bits = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        there, sent = np.unpackbits(np.frombuffer(bits.value, dtype=np.uint8), bitorder="little"), WordCache(SENT)
+        there, sent = np.unpackbits(np.frombuffer(bits.value, dtype=np.uint8), bitorder="little").astype(bool), WordCache(SENT)
         for batch in batches:
-            for part in chunks(batch.column(0).to_pylist()):
-                rows = []
-                for s in shingler(words).sets(part):
-                    if len(s) and (node := node_of(s)) not in sent and there[node % FILTER_BITS]:
-                        sent.room(1)
-                        sent[node] = True
-                        rows.append((node, len(s), s.tobytes()))
+            for part in chunks(fresh(batch, sent, there)):
+                rows = [(node_of(s), len(s), s.tobytes()) for s in shingler(words).sets(part) if len(s)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["node", "n", "members"])
 
-    return texts.select("text").mapInArrow(run, "node long, n long, members binary")
+    return texts.select("text", "h").mapInArrow(run, "node long, n long, members binary")
 
 
-def node_filter(nodes: DataFrame) -> bytes:
-    """A bitmap of fixed size in which every node has its bit; others may share one."""
-    spots = nodes.select(F.pmod("node", F.lit(FILTER_BITS)).alias("b")).select(F.expr("bitmap_bucket_number(b + 1) AS bucket"), F.expr("bitmap_bit_position(b + 1) AS at"))
+def text_filter(hashes: DataFrame) -> bytes:
+    """A bitmap of fixed size in which every h has its bit; others may share one."""
+    spots = hashes.select(F.pmod("h", F.lit(FILTER_BITS)).alias("b")).select(F.expr("bitmap_bucket_number(b + 1) AS bucket"), F.expr("bitmap_bit_position(b + 1) AS at"))
     out = bytearray(FILTER_BITS // 8)
     for r in spots.groupBy("bucket").agg(F.expr("bitmap_construct_agg(at) AS bits")).collect():
         start = (r["bucket"] - 1) * len(r["bits"])
@@ -284,14 +388,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     python_ready(docs.sparkSession)
     scratch = Scratch(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     nodes = scratch.save(node_table(texts, words))
 
-    same = Window.partitionBy("sig").orderBy("node")
-    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shared = signature_rows(texts, words, percent).repartition("sig").withColumns({"hub": F.first("node").over(whole), "last": F.last("node").over(whole), "sets": F.count(F.lit(1)).over(whole)}).filter("hub != last")
-    before = F.when(F.col("sets") <= SMALL, F.collect_set("node").over(same.rowsBetween(1 - SMALL, -1))).otherwise(F.array("hub"))
-    ties = scratch.save(shared.withColumn("before", before).select(F.col("node").alias("u"), F.explode("before").alias("v"), (F.col("sets") <= SMALL).alias("pair")).filter("u != v").distinct())
+    signatures = signature_rows(texts, words, percent).repartition("sig").sortWithinPartitions("sig", "node")
+    ties = scratch.save(ties_of(signatures).distinct())
     own = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("a"))
     other = own.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("a").alias("b"))
     pairs = ties.filter("pair").join(own.withColumnRenamed("node", "u"), "u").join(other, "v")
@@ -301,7 +402,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     placed = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     cells = (
-        set_rows(texts, words, node_filter(members))
+        set_rows(texts, words, text_filter(nodes.join(members, "node", "left_semi")))
         .dropDuplicates(["node"])
         .join(placed, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
