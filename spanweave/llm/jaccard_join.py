@@ -383,8 +383,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     included; links go by 100 * intersection >= percent * union of the sets of
     words-word shingles (a shorter text is one shingle). Null and empty texts
     have no shingles and no links. Repeated rows get the same group; a null
-    identifier only heads a group that has no other. Sets are told apart by
-    64-bit hashes of shingles and of themselves.
+    identifier only heads a group that has no other. Words, shingles, sets
+    and texts are told apart by 64-bit hashes.
     """
     python_ready(docs.sparkSession)
     scratch = Scratch(docs.sparkSession)

@@ -100,6 +100,36 @@ def test_jaccard_join(spark, empty):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == {i: (len(sets[i]), root[i]) for i in sets}
 
 
+def test_word_hashes_do_not_depend_on_place_or_piece():
+    rng = random.Random(5)
+    data = "".join(rng.choice("aAbBé \t\n\r\x0b\x0c\x1c\xa0") for _ in range(5000)).encode()
+    small, large = jaccard_join.WordHashes(7), jaccard_join.WordHashes(1 << 14)
+    words = data.lower().split()
+    for hashes in (small, large):
+        at, h = hashes(data)
+        assert [data.lower()[a : a + len(w)] for a, w in zip(at, words, strict=True)] == words
+        assert len(set(zip(words, h.tolist(), strict=True))) == len(set(words)) == len(set(h.tolist()))
+    assert small(data)[1].tolist() == large(data)[1].tolist() and not len(large(b"")[1]) and not len(large(b" \n")[1])
+
+
+def test_connected_components(spark):
+    from spanweave.llm.components import connected_components
+    from spanweave.scratch import Scratch
+
+    edges = [(k, k + 1) for k in range(40)] + [(100, 90), (90, 95), (7, 7)]
+    out = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark)).collect()}
+    assert out == {k: 0 for k in range(41)} | {90: 90, 95: 90, 100: 90}
+    assert connected_components(spark.createDataFrame([], "u long, v long"), Scratch(spark)).count() == 0
+
+
+def test_ties_of_sorted_signatures(spark):
+    groups = {1: range(3), 2: range(40), 3: [5], 4: [2, 9], 5: range(100, 116)}
+    rows = spark.createDataFrame([(s, n) for s, own in groups.items() for n in own], "sig long, node long").coalesce(1).sortWithinPartitions("sig", "node")
+    out = {tuple(r) for r in jaccard_join.ties_of(rows).collect()}
+    small = {(b, a, True) for s in (1, 4, 5) for a in groups[s] for b in groups[s] if a < b}
+    assert out == small | {(n, 0, False) for n in range(1, 40)}
+
+
 def test_pii(awkward):
     assert pii.find_pii(awkward).count() == len(AWKWARD)
 
