@@ -39,8 +39,8 @@ WORDS, PERCENT = 4, 85
 FEW, SPARE = 1, 0.12
 #: Sets of a signature whose pairs are candidates one by one
 SMALL = 16
-#: Sets in a block, bits of a parity sketch, bits of the filter that finds candidates' texts again
-BLOCK, SKETCH, FILTER_BITS = 512, 1024, 1 << 23
+#: Sets in a block, tasks in which a component's nodes learn of its blocks, bits of a parity sketch, bits of the filter that finds candidates' texts again
+BLOCK, SALTS, SKETCH, FILTER_BITS = 512, 64, 1024, 1 << 23
 #: Bytes that a worker hashes at a time, texts that it remembers, and signature rows that it looks through at a time
 PIECE, SENT, ROWS = 1 << 17, 200_000, 1 << 16
 
@@ -376,6 +376,20 @@ def links(cells: DataFrame, percent: int) -> DataFrame:
     return cells.mapInArrow(run, "u long, v long")
 
 
+def in_blocks(members: DataFrame) -> DataFrame:
+    """members (node, root) with the block of each node and its component's number of blocks.
+
+    Only components of several blocks are looked up, each SALTS times, so that
+    a hot one's nodes meet it in as many tasks; these rows are no more than
+    SALTS / BLOCK of the nodes.
+    """
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    large = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).filter("blocks > 1").withColumn("salt", F.explode(salts))
+    dealt = members.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS).cast("long")))
+    blocks = F.coalesce("blocks", F.lit(1).cast("long"))
+    return dealt.join(large, ["root", "salt"], "left").select("node", "root", blocks.alias("blocks")).withColumn("block", F.pmod(F.xxhash64(F.lit(1), "node"), "blocks"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """id_col, n_shingles, component_id for every row of docs.
 
@@ -399,8 +413,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     candidates = scratch.save(near_pairs(pairs, percent).unionByName(ties.filter("NOT pair").select("u", "v")))
     members = scratch.save(connected_components(candidates, scratch))
 
-    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    placed = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    placed = in_blocks(members)
     cells = (
         set_rows(texts, words, text_filter(nodes.join(members, "node", "left_semi")))
         .dropDuplicates(["node"])

@@ -122,6 +122,14 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long"), Scratch(spark)).count() == 0
 
 
+def test_blocks_of_large_components(spark):
+    rows = [(n, 0) for n in range(1300)] + [(n, n - n % 2) for n in range(2000, 2010)]
+    out = jaccard_join.in_blocks(spark.createDataFrame(rows, "node long, root long")).collect()
+    assert sorted((r["node"], r["root"]) for r in out) == rows
+    assert {r["blocks"] for r in out if r["root"] == 0} == {3} and {r["block"] for r in out if r["root"] == 0} == {0, 1, 2}
+    assert {(r["blocks"], r["block"]) for r in out if r["root"]} == {(1, 0)}
+
+
 def test_ties_of_sorted_signatures(spark):
     groups = {1: range(3), 2: range(40), 3: [5], 4: [2, 9], 5: range(100, 116)}
     rows = spark.createDataFrame([(s, n) for s, own in groups.items() for n in own], "sig long, node long").coalesce(1).sortWithinPartitions("sig", "node")
