@@ -5,15 +5,19 @@ linked sets lie in one band or in neighbours; within a band the symmetric
 difference of linked sets has at most k members. The hashed feature domain is
 partitioned into n1 groups of two parts each: k differences leave some group
 with one difference at most, hence one of the group's one-part subsets without
-any, so linked sets share a signature (band, part, the part's members). Groups
-beyond those needed allow for leaving out signatures of fewer than ``FEW``
-members, which unrelated sets share too; a set with more such groups than that
-sends out all its signatures, so that nothing is lost.
+any, so linked sets share a signature (band, part, the part's members). With
+groups beyond those needed they share as many more, in different groups, which
+allows for leaving out signatures that unrelated sets share too. First, those of
+fewer than ``FEW`` members; a set with more such groups than allowed for sends
+out all its signatures, so that nothing is lost. Second, the most frequent of
+those of more than ``SMALL`` sets, which are as many for every set: of two sets
+that share one more than these, the rest of both have one in common.
 
 Of up to ``SMALL`` sets that share a signature all pairs are candidates, and
 parity sketches, whose distance bounds the symmetric difference from below,
-let few pass that aren't linked. More sets than that are tied to the
-signature's first one. The components of both kinds of ties are then compared
+let few pass that aren't linked. Of up to ``MEDIUM`` sets the groups that such
+distances make are found at once. More sets than that are tied to the
+signature's first one. The components of all these ties are then compared
 exactly: in blocks of bounded size, every block against every other of its
 component. Equal sets count as one node from the start, so the pairs of a
 group of copies are never written, only links that join two groups of a block.
@@ -26,7 +30,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.llm.common import WordCache, chunks, python_ready, table, text_or_empty, without
@@ -35,11 +39,11 @@ from spanweave.scratch import Scratch
 
 #: Shingle width and the link rule 100 * intersection >= PERCENT * union of the registered query
 WORDS, PERCENT = 4, 85
-#: Members below which a signature is left out, and spare groups for that, as a share of the groups needed
-FEW, SPARE = 1, 0.12
-#: Sets of a signature whose pairs are candidates one by one
-SMALL = 16
-#: Sets in a block, tasks in which a component's nodes learn of its blocks, bits of a parity sketch, bits of the filter that finds candidates' texts again
+#: Members below which a signature is left out, and spare groups for that, and for signatures of many sets, as shares of the groups needed
+FEW, SPARE, SHARED = 1, 0.12, 0.12
+#: Sets of a signature whose pairs are candidates one by one, and whose sketches are compared in one place
+SMALL, MEDIUM = 16, 2048
+#: Sets in a block, tasks in which a component's nodes learn of its blocks, bits of a parity sketch of up to so many members, bits of the filter that finds candidates' texts again
 BLOCK, SALTS, SKETCH, FILTER_BITS = 512, 64, 1024, 1 << 23
 #: Bytes that a worker hashes at a time, texts that it remembers, and signature rows that it looks through at a time
 PIECE, SENT, ROWS = 1 << 17, 200_000, 1 << 16
@@ -142,13 +146,18 @@ class PartEnum:
             self.tops.append(low * 100 // self.percent)
         return int(np.searchsorted(self.tops, size))
 
-    def groups(self, band: int) -> tuple[int, int]:
-        """Groups of the band's partition and how many of them are spare; 0 where linked sets are equal."""
+    def groups(self, band: int) -> tuple[int, int, int]:
+        """Groups of the band's partition and how many of them are spare, of either kind; 0 where linked sets are equal."""
         self.band(self.tops[-1] + 1 if len(self.tops) <= band else 1)
         k = 2 * self.tops[band] * (100 - self.percent) // (100 + self.percent)
         needed = k // 2 + 1
-        spare = 1 + int(needed * SPARE)
-        return (needed + spare, spare) if k else (0, 0)
+        spare, shared = 1 + int(needed * SPARE), int(needed * SHARED)
+        return (needed + spare + shared, spare, shared) if k else (0, 0, 0)
+
+    def shared_allowed(self, size: int, odd: int) -> int:
+        """How many signatures of many sets a set may have among those of its odd or its even band."""
+        own = self.band(size)
+        return self.groups(own if own % 2 == odd else own + 1)[2]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         own = self.band(len(s))
@@ -157,7 +166,7 @@ class PartEnum:
         sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(s + np.uint64(0xD6E8FEB86659FD93)))])
         out = []
         for band in (own, own + 1):
-            groups, spare = self.groups(band)
+            groups, spare, _ = self.groups(band)
             if not groups:
                 continue
             parts = 2 * groups
@@ -166,7 +175,8 @@ class PartEnum:
             ends = np.cumsum(counts)
             inside = sums[ends] - sums[ends - counts]
             seeds = np.arange(parts, dtype=np.uint64) + np.uint64((band + 1) << 32)
-            sig = mix(inside + mix(seeds))
+            # the lowest bit tells a set's two bands apart
+            sig = mix(inside + mix(seeds)) & ~np.uint64(1) | np.uint64(band & 1)
             weak = counts < FEW
             if weak.reshape(groups, 2).any(1).sum() <= spare:
                 sig = sig[~weak]
@@ -245,8 +255,8 @@ def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 def ties_of(signatures: DataFrame) -> DataFrame:
     """(u, v, pair) of signatures (sig, node), whose rows stand sorted in their partitions.
 
-    All pairs of the sets of a signature, or, of more than SMALL sets, each
-    set with the first. What is held of a signature between two looks is no
+    All pairs of the sets of a signature or, of more than SMALL sets, each set
+    with the signature. What is held of a signature between two looks is no
     more than SMALL rows.
     """
 
@@ -273,8 +283,9 @@ def ties_of(signatures: DataFrame) -> DataFrame:
                 if not len(k):
                     break
                 out.append((node[k], node[k - back], np.ones(len(k), dtype=bool)))
-            k = np.flatnonzero(own_large & (place > 0))
-            out.append((node[k], node[own_first[k]], np.zeros(len(k), dtype=bool)))
+            # the first row of a signature that went on has been given out
+            k = np.flatnonzero(own_large & (np.arange(len(sig)) >= large))
+            out.append((node[k], sig[k], np.zeros(len(k), dtype=bool)))
             u, v, pair = map(np.concatenate, zip(*out, strict=True))
             if len(u):
                 once = np.unique(np.column_stack([u, v, pair]), axis=0) if len(u) < ROWS else np.column_stack([u, v, pair])
@@ -286,6 +297,71 @@ def ties_of(signatures: DataFrame) -> DataFrame:
     return signatures.mapInArrow(run, "u long, v long, pair boolean")
 
 
+def rarest(large: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """The rows of large (node, sig) less each set's most frequent signatures, as many as its band has spare groups for; own: (node, n)."""
+
+    def run(batches):
+        enum, known = PartEnum(percent), {}
+        for batch in batches:
+            odd, n, place, of = (batch.column(k).to_numpy().astype(np.int64) for k in range(2, 6))
+            kinds, which = np.unique(2 * n + odd, return_inverse=True)
+            allowed = [known[k] if k in known else known.setdefault(k, enum.shared_allowed(k // 2, k % 2)) for k in kinds.tolist()]
+            yield batch.select(["sig", "node"]).filter(pa.array(place <= of - np.array(allowed, dtype=np.int64)[which]))
+
+    sets = large.groupBy("sig").agg(F.count(F.lit(1)).alias("sets"))
+    rows = large.join(sets, "sig").withColumn("odd", F.col("sig").bitwiseAND(F.lit(1).cast("long")))
+    band = Window.partitionBy("node", "odd")
+    ranked = rows.withColumns({"place": F.row_number().over(band.orderBy("sets", "sig")).cast("long"), "of": F.count(F.lit(1)).over(band)})
+    return ranked.join(own, "node").select("sig", "node", "odd", "n", "place", "of").mapInArrow(run, "sig long, node long")
+
+
+def ties_by_sketch(rows: DataFrame, percent: int) -> DataFrame:
+    """(u, v) ties of sets that share a signature; rows: (sig, node, n, sketch), signature by signature.
+
+    The ties of up to MEDIUM sets join the groups that their sizes and
+    sketches allow, without the pairs of a group; more sets than that are tied
+    to the first, and no more than MEDIUM rows are held.
+    """
+
+    def of_group(held):
+        node, n, bits = zip(*held, strict=True)
+        n, sk = np.array(n), folded(bits, min(map(len, bits)))
+        root = np.arange(len(n))
+        for a in range(len(n) - 1):
+            far = np.flatnonzero(root[a + 1 :] != root[a]) + a + 1
+            if not len(far):
+                continue
+            m = n[far]
+            fine = 100 * np.minimum(m, n[a]) >= percent * np.maximum(m, n[a])
+            fine &= np.bitwise_count(sk[far] ^ sk[a]).sum(1, dtype=np.int64) <= (m + n[a]) * (100 - percent) // (100 + percent)
+            for b in far[fine].tolist():
+                if root[b] != root[a]:
+                    root[root == root[b]] = root[a]
+                    yield node[b], node[a]
+
+    def run(batches):
+        key, held, large = None, [], False
+        for batch in batches:
+            out = []
+            for sig, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if sig != key:
+                    out += of_group(held) if held else []
+                    key, held, large = sig, [], False
+                if large:
+                    out.append((row[0], held[0][0]))
+                    continue
+                held.append(row)
+                if len(held) > MEDIUM:
+                    out += [(r[0], held[0][0]) for r in held[1:]]
+                    held, large = held[:1], True
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["u", "v"])
+        if held and (out := list(of_group(held))):
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["u", "v"])
+
+    return rows.mapInArrow(run, "u long, v long")
+
+
 def set_rows(texts: DataFrame, words: int, wanted: bytes) -> DataFrame:
     """(node, n, members) of the texts whose hashes the filter lets pass."""
     bits = texts.sparkSession.sparkContext.broadcast(wanted)
@@ -311,9 +387,16 @@ def text_filter(hashes: DataFrame) -> bytes:
     return bytes(out)
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """Bit b: whether an odd number of members falls on b."""
-    return np.packbits((np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1).astype(np.uint8)).tobytes()
+def sketch(s: np.ndarray, bits: int = 0) -> bytes:
+    """Bit b: whether an odd number of members falls on b; as many bits as members, rounded up to a power of two."""
+    bits = bits or max(SKETCH, 1 << (len(s) - 1).bit_length() if len(s) else 0)
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches as rows of so many bytes; what falls on a bit of a shorter one falls on it or on its copies in a longer one."""
+    short = (x if len(x) == size else np.bitwise_xor.reduce(np.frombuffer(x, dtype=np.uint64).reshape(-1, size // 8), axis=0).tobytes() for x in sketches)
+    return np.frombuffer(b"".join(short), dtype=np.uint64).reshape(len(sketches), size // 8)
 
 
 def near_pairs(pairs: DataFrame, percent: int) -> DataFrame:
@@ -322,8 +405,11 @@ def near_pairs(pairs: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             n, m = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64) for k in (4, 5))
-            apart = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+            a, b = (batch.column(k).to_pylist() for k in (4, 5))
+            sizes, apart = np.array([min(len(x), len(y)) for x, y in zip(a, b, strict=True)], dtype=np.int64), np.zeros(len(n), dtype=np.int64)
+            for size in np.unique(sizes).tolist():
+                k = np.flatnonzero(sizes == size)
+                apart[k] = np.bitwise_count(folded([a[x] for x in k], size) ^ folded([b[x] for x in k], size)).sum(1, dtype=np.int64)
             fine = pa.array((apart <= (n + m) * (100 - percent) // (100 + percent)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
             yield batch.select(["u", "v"]).filter(fine)
 
@@ -334,7 +420,7 @@ def links_in_cell(rows: list[tuple], across: bool, percent: int) -> list[tuple[i
     """Links that join all groups of a cell's sets; across: only between its two blocks. rows: (node, block, n, members)."""
     rows = sorted(rows, key=lambda r: r[2])
     sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
-    sizes, blocks, sk = np.array([r[2] for r in rows]), np.array([r[1] for r in rows]), np.frombuffer(b"".join(map(sketch, sets)), dtype=np.uint64).reshape(len(sets), -1)
+    sizes, blocks, sk = np.array([r[2] for r in rows]), np.array([r[1] for r in rows]), folded([sketch(x, SKETCH) for x in sets], SKETCH // 8)
     root = np.arange(len(rows))
     out = []
     for a in range(len(rows) - 1):
@@ -410,7 +496,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("a"))
     other = own.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("a").alias("b"))
     pairs = ties.filter("pair").join(own.withColumnRenamed("node", "u"), "u").join(other, "v")
-    candidates = scratch.save(near_pairs(pairs, percent).unionByName(ties.filter("NOT pair").select("u", "v")))
+    large = rarest(ties.filter("NOT pair").select(F.col("u").alias("node"), F.col("v").alias("sig")), own.select("node", "n"), percent)
+    shared = large.join(own, "node").select("sig", "node", "n", "a").repartition("sig").sortWithinPartitions("sig", "n", "node")
+    candidates = scratch.save(near_pairs(pairs, percent).unionByName(ties_by_sketch(shared, percent)).distinct())
     members = scratch.save(connected_components(candidates, scratch))
 
     placed = in_blocks(members)

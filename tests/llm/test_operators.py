@@ -130,12 +130,53 @@ def test_blocks_of_large_components(spark):
     assert {(r["blocks"], r["block"]) for r in out if r["root"]} == {(1, 0)}
 
 
-def test_ties_of_sorted_signatures(spark):
+def test_ties_of_sorted_signatures(spark, monkeypatch):
     groups = {1: range(3), 2: range(40), 3: [5], 4: [2, 9], 5: range(100, 116)}
     rows = spark.createDataFrame([(s, n) for s, own in groups.items() for n in own], "sig long, node long").coalesce(1).sortWithinPartitions("sig", "node")
-    out = {tuple(r) for r in jaccard_join.ties_of(rows).collect()}
     small = {(b, a, True) for s in (1, 4, 5) for a in groups[s] for b in groups[s] if a < b}
-    assert out == small | {(n, 0, False) for n in range(1, 40)}
+    for many in (3, 1 << 16):
+        monkeypatch.setattr(jaccard_join, "ROWS", many)
+        out = [tuple(r) for r in jaccard_join.ties_of(rows).collect()]
+        assert len(out) == len(set(out)) and set(out) == small | {(n, 2, False) for n in range(40)}
+
+
+def test_sketches_bound_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for n, own in ((3, 1), (900, 200), (1030, 60), (5000, 300)):
+        both, a, b = (rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (n, own, own // 2))
+        a, b = jaccard_join.sketch(np.append(both, a)), jaccard_join.sketch(np.append(both, b))
+        size = min(len(a), len(b))
+        apart = int(np.bitwise_count(jaccard_join.folded([a], size) ^ jaccard_join.folded([b], size)).sum())
+        assert own // 4 < apart <= own + own // 2
+
+
+def test_frequent_signatures(spark, monkeypatch):
+    """A third of the texts are near copies, others share a passage: many sets have the same signatures."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    rng = random.Random(7)
+    new = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    base, passage = new(90), new(60)
+    docs = []
+    for k in range(60):
+        own = list(base)
+        for _ in range(k % 4):
+            own[rng.randrange(90)] = f"x{rng.random()}"
+        docs.append((k, " ".join(own)))
+        docs.append((100 + k, " ".join(new(30) + passage + new(k % 9))))
+        docs.append((200 + k, " ".join(passage + new(k % 5))))
+    sets = {i: frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for i, t in docs if (w := t.split())}
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for medium in (2048, 8):
+        monkeypatch.setattr(jaccard_join, "MEDIUM", medium)
+        assert {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(df, words=5, percent=80).collect()} == root
 
 
 def test_pii(awkward):
