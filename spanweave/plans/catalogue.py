@@ -263,6 +263,24 @@ def forbidden_overlap(spark, d):
     return pairs.select("l_suppkey", F.col("l_l_orderkey").alias("l_order"), F.col("r_l_orderkey").alias("r_order"), F.col("l_l_linenumber").alias("l_line"), F.col("r_l_linenumber").alias("r_line"), F.greatest("l_lo", "r_lo").alias("lo"), F.least("l_hi", "r_hi").alias("hi"))
 
 
+#: Order and line numbers repeat, so a row's number within them tells its spans apart
+NUMBERED_SQL = "num AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_orderkey, l_linenumber ORDER BY lo, hi) AS n FROM spans)"
+
+
+@query("forbidden_overlap_all_lines", f"WITH {SPANS_SQL}, {NUMBERED_SQL} SELECT a.l_suppkey, a.l_orderkey AS l_order, b.l_orderkey AS r_order, a.l_linenumber AS l_line, b.l_linenumber AS r_line, greatest(a.lo, b.lo) AS lo, least(a.hi, b.hi) AS hi FROM num a JOIN num b ON a.l_suppkey = b.l_suppkey AND a.lo < b.hi AND b.lo < a.hi WHERE (a.l_orderkey, a.l_linenumber, a.n) < (b.l_orderkey, b.l_linenumber, b.n)")
+def forbidden_overlap_all_lines(spark, d):
+    """Every pair of overlapping spans of a supplier once, those of one order and of repeated line numbers too."""
+    return overlapping_pairs(line_spans(spark, d))
+
+
+def overlapping_pairs(spans: DataFrame) -> DataFrame:
+    number = F.row_number().over(Window.partitionBy(*SUPPLIER, "l_orderkey", "l_linenumber").orderBy("lo", "hi"))
+    numbered = spans.withColumn("n", number)
+    side = lambda p: F.struct(*[f"{p}_{c}" for c in ("l_orderkey", "l_linenumber", "n")])
+    pairs = parallel.range_join(numbered, numbered, SUPPLIER, 120 * DAY).filter(side("l") < side("r"))
+    return pairs.select("l_suppkey", F.col("l_l_orderkey").alias("l_order"), F.col("r_l_orderkey").alias("r_order"), F.col("l_l_linenumber").alias("l_line"), F.col("r_l_linenumber").alias("r_line"), F.greatest("l_lo", "r_lo").alias("lo"), F.least("l_hi", "r_hi").alias("hi"))
+
+
 @query("spans_contains_count", f"WITH {SPANS_SQL}, parent AS (SELECT l_orderkey, min(lo) AS lo, min(lo) + {120 * DAY} AS hi FROM spans GROUP BY 1) SELECT p.l_orderkey, count(s.lo) AS children, CAST(coalesce(sum(s.hi // 2 - s.lo // 2), 0) AS BIGINT) AS inside_us FROM parent p LEFT JOIN spans s ON s.l_orderkey = p.l_orderkey AND p.lo <= s.lo AND s.hi <= p.hi GROUP BY 1")
 def spans_contains_count(spark, d):
     spans = line_spans(spark, d)

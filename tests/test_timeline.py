@@ -2,6 +2,7 @@ from itertools import product
 
 import __spark_entry__
 from spanweave.operators import parallel, serial
+from spanweave.plans import catalogue
 
 
 def rows(df, *columns):
@@ -41,3 +42,11 @@ def test_empty_tables(spark):
 def test_entry_and_names(spark):
     assert __spark_entry__.entry(spark).count() >= 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_overlaps_of_all_lines(spark):
+    """Lines other than the first, lines of one order and repeated line numbers overlap too."""
+    data = [(1, 5, 1, 0, 10), (1, 5, 2, 0, 8), (1, 5, 2, 0, 8), (1, 6, 3, 9, 20), (1, 4, 7, 30, 40), (2, 6, 1, 0, 40)]
+    out = catalogue.overlapping_pairs(spark.createDataFrame(data, "l_suppkey long, l_orderkey long, l_linenumber long, lo long, hi long"))
+    wanted = sorted((a[0], a[1], b[1], a[2], b[2], max(a[3], b[3]), min(a[4], b[4])) for i, a in enumerate(data) for j, b in enumerate(data) if a[0] == b[0] and (a[1:3], i) < (b[1:3], j) and a[3] < b[4] and b[3] < a[4])
+    assert rows(out, *out.columns) == wanted and len(wanted) == 4
