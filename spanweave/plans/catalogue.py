@@ -155,6 +155,23 @@ register_combination("numbers_times", "round(2 * a, 6)", "value", "value")
 register_combination("numbers_greatest", "greatest(a, b)", "value", "value", "CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE greatest(a, b) END")
 
 
+def register_one_sided(name: str, value: str, source: str = HIGH) -> None:
+    """A query over the profile a of all events, from a value that needs no other profile."""
+
+    def run(spark, d):
+        return serial.combine({"a": serial.coalesce(event_profile(spark, d, source), KEY, ["value"])}, KEY, F.expr(value))
+
+    QUERIES[name] = run
+    SQL[name] = f"WITH {profile_sql('a0', source)}, {coalesce_sql('a', 'a0')}, v AS (SELECT user_id, lo, hi, {value} AS value FROM (SELECT user_id, lo, hi, value AS a FROM a) AS s), k AS (SELECT * FROM v WHERE value IS NOT NULL), {coalesce_sql('o', 'k')} SELECT * FROM o"
+
+
+# The queries of these names without the ending see even events only, as their SQL does.
+register_one_sided("windows_not_all_events", "NOT a")
+register_one_sided("assign_gaps_constant_all_events", "coalesce(a, false)")
+register_one_sided("profile_at_most_all_events", "a <= 20", "value")
+register_one_sided("numbers_times_all_events", "round(2 * a, 6)", "value")
+
+
 # --- neighbours
 
 TYPES_SQL = f"{profile_sql('p', 'event_type')}, {coalesce_sql('t', 'p')}"

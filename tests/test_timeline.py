@@ -50,3 +50,15 @@ def test_overlaps_of_all_lines(spark):
     out = catalogue.overlapping_pairs(spark.createDataFrame(data, "l_suppkey long, l_orderkey long, l_linenumber long, lo long, hi long"))
     wanted = sorted((a[0], a[1], b[1], a[2], b[2], max(a[3], b[3]), min(a[4], b[4])) for i, a in enumerate(data) for j, b in enumerate(data) if a[0] == b[0] and (a[1:3], i) < (b[1:3], j) and a[3] < b[4] and b[3] < a[4])
     assert rows(out, *out.columns) == wanted and len(wanted) == 4
+
+
+def test_one_sided_operators_see_odd_events(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    at = [datetime(2024, 1, 1) + timedelta(hours=k) for k in range(4)]
+    values = [10.0, 50.0, 12.0, 60.0]
+    spark.createDataFrame([(k, 1, at[k], values[k]) for k in range(4)], "event_id long, user_id long, ts timestamp, value double").write.parquet(f"{tmp_path}/events.parquet")
+    wanted = {"windows_not": [True, False, True, False], "assign_gaps_constant": [False, True, False, True], "profile_at_most": [True, False, True, False], "numbers_times": [20.0, 100.0, 24.0, 120.0]}
+    for name, own in wanted.items():
+        found = catalogue.QUERIES[f"{name}_all_events"](spark, str(tmp_path)).orderBy("lo").collect()
+        assert [r["value"] for r in found] == own and all(a["hi"] == b["lo"] for a, b in zip(found, found[1:]))
