@@ -2,9 +2,9 @@
 
 Four kinds of entity with a fixed form are the seeds. The words around them
 are lexical patterns; patterns and the identifier-like tokens that stand in
-them form a graph, whose scores Spark refines over a few rounds: a pattern is
-trusted by the share of its tokens that are entities, a token believed by the
-patterns it stands in. Tokens that trusted patterns vouch for are identifiers
+them form a graph, whose scores Spark refines until no pattern or token is
+new: a pattern is trusted by the share of its tokens that are entities or
+believed, a token believed by the patterns it stands in. Tokens that trusted patterns vouch for are identifiers
 of a form not seen before and are reported as kind ``id``.
 
 DataFrame functions only. A match's place comes from splitting the text at the
@@ -31,8 +31,8 @@ FORMS = {
 BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Identifier-like: 6 to 64 word characters with a digit early on
 CANDIDATE = r"(?<![0-9A-Za-z_.@+-])(?=[A-Za-z_.@+-]{0,40}[0-9])[0-9A-Za-z_.@+-]{5,63}[0-9A-Za-z](?![0-9A-Za-z_@+-])"
-#: Characters of context, rounds, different seeds that a pattern needs, trust in a pattern and belief in a token from which they count
-CONTEXT, ROUNDS, SEEDS, TRUST, BELIEF = 80, 3, 3, 0.6, 0.85
+#: Characters of context, different seeds or believed tokens that a pattern needs, trust in a pattern and belief in a token from which they count, and the step of belief that ends the rounds
+CONTEXT, SUPPORT, TRUST, BELIEF, STILL = 80, 3, 0.6, 0.85, 1e-4
 
 
 def luhn(digits: Column) -> Column:
@@ -102,13 +102,19 @@ def discovered(found: DataFrame, scratch: Scratch) -> DataFrame:
     """(token) that trusted patterns vouch for."""
     one = lambda c, seed: found.select(F.explode(c).alias("e")).select("e.token", F.explode(F.array(F.concat(F.lit("L "), "e.left"), F.concat(F.lit("R "), "e.right"))).alias("pattern"), F.lit(seed).alias("seed"))
     edges = scratch.save(one("base", True).unionByName(one("more", False)).filter(F.length("pattern") > 2).groupBy("pattern", "token").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")))
-    belief = None
-    for _ in range(ROUNDS):
-        known = edges if belief is None else edges.join(belief, "token", "left")
-        believed = F.when(F.col("seed"), 1.0).otherwise(F.lit(0.0) if belief is None else F.coalesce("belief", F.lit(0.0)))
-        trust = known.groupBy("pattern").agg((F.sum(believed * F.col("n")) / (F.sum("n") + 1)).alias("trust"), F.count_if("seed").alias("seeds")).filter((F.col("seeds") >= SEEDS) & (F.col("trust") >= TRUST))
+    belief, last = None, None
+    while True:
+        known = edges.withColumn("belief", F.lit(0.0)) if belief is None else edges.join(belief.select("token", "belief"), "token", "left").withColumn("belief", F.coalesce("belief", F.lit(0.0)))
+        known = known.withColumn("belief", F.when(F.col("seed"), 1.0).otherwise(F.col("belief")))
+        trust = scratch.save(known.groupBy("pattern").agg((F.sum(F.col("belief") * F.col("n")) / (F.sum("n") + 1)).alias("trust"), F.count_if(F.col("belief") >= BELIEF).alias("support")).filter((F.col("support") >= SUPPORT) & (F.col("trust") >= TRUST)))
         doubt = F.sum(F.log(1 - F.least("trust", F.lit(0.99))))
-        belief = scratch.save(edges.filter("NOT seed").join(trust, "pattern").groupBy("token").agg((1 - F.exp(doubt)).alias("belief")))
+        belief = scratch.save(known.filter("NOT seed").join(trust, "pattern").groupBy("token").agg((1 - F.exp(doubt)).alias("belief"), F.max("belief").alias("before")))
+        grown = belief.agg(F.count(F.lit(1)).alias("tokens"), F.count_if(F.col("belief") >= BELIEF).alias("believed"), F.max(F.col("belief") - F.col("before")).alias("step")).first()
+        now = (trust.count(), grown["tokens"], grown["believed"])
+        # trust and belief only grow; what still creeps may yet reach a threshold
+        if now == last and (grown["step"] or 0) < STILL:
+            break
+        last = now
     return belief.filter(F.col("belief") >= BELIEF).select("token")
 
 

@@ -183,6 +183,16 @@ def test_pii(awkward):
     assert pii.find_pii(awkward).count() == len(AWKWARD)
 
 
+def test_pii_beyond_the_contexts_of_seeds(spark):
+    """A second and a third context, which no entity of fixed form stands in, are reached through discovered tokens."""
+    texts = [f"contact p{k}@mail.org today" for k in range(10)] + [f"contact usr{k}x77 today" for k in range(3)]
+    texts += [f"badge usr{k}x77 please" for k in range(3) for _ in range(4)] + [f"badge zz{k}q55 please" for k in range(3)]
+    texts += [f"locker zz{k}q55 below" for k in range(3) for _ in range(6)] + ["locker kk9w31 below", "nothing abc123 there"]
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {t.split()[1] for r in rows if r["n_more"] for t in [texts[r["doc_id"]]]}
+    assert found == {f"usr{k}x77" for k in range(3)} | {f"zz{k}q55" for k in range(3)} | {"kk9w31"}
+
+
 def test_licenses(awkward, empty):
     s = licenses.Scanner()
     assert s.scan("x under the Apache License, Version 2.0")[:6] == (8, 1, 3, 3, "apache", "apache")
