@@ -114,7 +114,9 @@ class Lists:
         q, r = np.nonzero(near)
         if len(q) > 4 * self.k * len(which):  # the lists are young: rank first
             rough = np.where(near, self.unit[which] @ unit_of(vectors).T, -3)
-            kth = -np.partition(-rough, min(self.k, rough.shape[1]) - 1, axis=1)[:, min(self.k, rough.shape[1]) - 1]
+            one = rough[:, np.unique(ids, return_index=True)[1]]  # a row of each identifier: repeats would fill the first k places
+            last = min(self.k, one.shape[1]) - 1
+            kth = -np.partition(-one, last, axis=1)[:, last]
             q, r = np.nonzero(near & (rough >= kth[:, None] - SLACK))
         scores = cosines(self.vectors[which[q]], vectors[r])
         for place, score, i in zip(which[q].tolist(), scores.tolist(), ids[r].tolist(), strict=True):

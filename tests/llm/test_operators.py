@@ -212,6 +212,17 @@ def test_neighbours(spark):
     assert len(out) == 30
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = random.Random(8)
+    data = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(300)]
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5
+    fine = dict(data)
+    wanted = sorted((i for i in fine if i != 50), key=lambda i: (-cos(fine[50], fine[i]), i))[:5]
+    df = spark.createDataFrame(data + [(wanted[0], fine[wanted[0]])] * 5, "vec_id long, embedding array<double>")
+    out = hilbert_neighbours.nearest_neighbours(df, __import__("pyspark").sql.functions.col("vec_id") == 50).orderBy("rank").collect()
+    assert [r["vec_id"] for r in out] == wanted
+
+
 def test_toxicity(awkward, spark):
     docs = [(k % 2, f"some words here {'you idiot moron' if k % 2 else 'nice day'} number{k} and more") for k in range(200)]
     machine = toxicity.Machine(*toxicity.train(docs))
