@@ -25,12 +25,12 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Templates of public licenses and of their usual notices, and the labels they give.
+# Templates of public licenses and of their usual notices, by the labels they give; any of several gives it.
 TEMPLATES = {
     "apache-2.0-notice": "licensed under the apache license version 2 0 <<optional>>the license you may not use this file except in compliance with the license<<end>>",
     "mit-notice": "<<optional>>this <<any 4>> is<<end>> <<optional>>released<<end>> <<optional>>licensed<<end>> under the <<optional>>terms of the<<end>> mit license",
     "gpl-notice": "under the terms of the gnu general public license <<optional>>as published by the free software foundation<<end>> <<optional>>either<<end>> <<optional>>version <<any 1>><<end>> <<optional>>or at your option any later version<<end>>",
-    "gpl-version-3": "gnu general public license <<optional>>v3<<end>> <<optional>>version 3<<end>>",
+    "gpl-version-3": ("gnu general public license v3 <<optional>>version 3<<end>>", "gnu general public license version 3"),
     "cc-by-4.0-notice": "licensed under <<optional>>a<<end>> <<optional>>the<<end>> <<optional>>creative commons attribution<<end>> cc by <<any 2>> <<optional>>international<<end>> <<optional>>license<<end>>",
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice <<optional>>including the next paragraph<<end>> shall be included in all copies or substantial portions of the software",
     "isc-text": "permission to use copy modify and <<optional>>or<<end>> distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
@@ -99,10 +99,10 @@ class TemplateAutomaton:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES):
+    def __init__(self, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = PHRASES):
         self.phrases = [(f" {p} ".encode(), label) for p, label in phrases.items()]
         self.templates = []
-        for label, markup in templates.items():
+        for label, markup in ((k, m) for k, own in templates.items() for m in ([own] if isinstance(own, str) else own)):
             a = TemplateAutomaton(markup)
             # mandatory words that stand together before the first region: a text without them can't match
             lead = re.split(r"<<", markup)[0].split()
@@ -148,7 +148,7 @@ class Scanner:
 REACH = 24
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, n_words, n_base, first_word, last_word, base_labels, labels and score for every row of docs.
 
     Null texts count as empty: no words, no labels, score 0. Places count

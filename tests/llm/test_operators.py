@@ -200,6 +200,14 @@ def test_licenses(awkward, empty):
     assert licenses.scan_licenses(awkward).count() == len(AWKWARD) and licenses.scan_licenses(empty).count() == 0
 
 
+def test_versions_of_the_gpl():
+    s = licenses.Scanner()
+    for version in ("v3", "version 3", "v3 version 3", "Version 3.0"):
+        assert "gpl-version-3" in s.scan(f"under the GNU General Public License, {version}")[5].split(",")
+    for version in ("version 2", "v2", "", "as published; section 3"):
+        assert "gpl-version-3" not in s.scan(f"covered by the GNU General Public License {version}")[5] and s.scan(f"the GNU General Public License {version}")[6] == 0.5
+
+
 def test_neighbours(spark):
     rng = random.Random(4)
     data = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(300)] + [(400, None), (450, [0.0] * 8), (500, [float("nan")] * 8), (550, [])]
