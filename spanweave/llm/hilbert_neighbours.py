@@ -277,8 +277,8 @@ def nearest_neighbours(vectors: DataFrame, query: Column, id_col: str = "vec_id"
 
     Nearest first, ties to the smaller identifier, all candidates if there are
     fewer. Vectors that are null, empty, zero or hold null or non-finite
-    components take no part, nor do those without identifier or of another
-    length than most of the sample. Rows that repeat an identifier with its
+    components take no part, nor do those without identifier. Vectors are
+    compared with those of their own length, by a search for each length. Rows that repeat an identifier with its
     vector count once, and a query's own identifier isn't its neighbour.
     """
     spark = vectors.sparkSession
@@ -287,13 +287,23 @@ def nearest_neighbours(vectors: DataFrame, query: Column, id_col: str = "vec_id"
     v = F.col(vector_col).cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
     valid = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(fine).select(F.col(id_col).cast("long").alias("id"), F.coalesce(query, F.lit(False)).alias("query"), v.alias("v"))
-    sample = [r["v"] for r in valid.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()]
     schema = "query_id long, rank int, vec_id long, score double"
-    if not sample:
+    lengths = sorted(r["n"] for r in valid.select(F.size("v").alias("n")).distinct().collect())
+    if not lengths:
         return spark.createDataFrame([], schema)
-    dim = max({len(x) for x in sample}, key=lambda n: (sum(len(x) == n for x in sample), n))
-    curves = Curves(unit_of(np.array([x for x in sample if len(x) == dim])))
-    valid = packed(valid.filter(F.size("v") == dim))
+    found = None
+    for dim in lengths:
+        own = found_of_length(valid.filter(F.size("v") == dim), dim, k, scratch)
+        found = own if found is None else found.unionByName(own)
+    ranked = found.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def found_of_length(valid: DataFrame, dim: int, k: int, scratch: Scratch) -> DataFrame:
+    """(query_id, vec_id, score) among rows (id, query, v) with dim components, the k best of each query and others."""
+    sample = [r["v"] for r in valid.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()]
+    curves = Curves(unit_of(np.array(sample)))
+    valid = packed(valid)
     ordered = scratch.save(laid_out(valid, curves, dim).repartitionByRange("curve", "key").sortWithinPartitions("curve", "key", "id"))
     counts = ordered.filter("curve = 0").agg(F.count(F.lit(1)).alias("n"), F.count_if("query").alias("q")).first()
 
@@ -307,9 +317,7 @@ def nearest_neighbours(vectors: DataFrame, query: Column, id_col: str = "vec_id"
     asked = scratch.save(runs_to_search(queries, caps, dim, max(1, -(-counts["q"] // QUERIES))))
     wanted = asked.select("run", "part").distinct()
     cells = asked.unionByName(runs.select("run", "id", "vector").join(wanted, "run").withColumn("least", F.lit(float("nan")))).repartition("run", "part").sortWithinPartitions("run", "part", F.isnan("least"), "id")
-    found = first.unionByName(searched(cells.select("run", "part", "id", "vector", "least"), dim, k)).distinct()
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return first.unionByName(searched(cells.select("run", "part", "id", "vector", "least"), dim, k))
 
 
 def laid_again(ordered: DataFrame) -> DataFrame:

@@ -231,6 +231,18 @@ def test_neighbours_of_repeated_rows(spark):
     assert [r["vec_id"] for r in out] == wanted
 
 
+def test_neighbours_of_each_length(spark):
+    rng = random.Random(9)
+    data = [(i, [rng.gauss(0, 1) for _ in range(8 if i < 60 else 3)]) for i in range(80)]
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5
+    fine = dict(data)
+    out = hilbert_neighbours.nearest_neighbours(spark.createDataFrame(data, "vec_id long, embedding array<double>"), __import__("pyspark").sql.functions.col("vec_id") % 35 == 0).collect()
+    for q in (0, 35, 70):
+        wanted = sorted((i for i in fine if i != q and len(fine[i]) == len(fine[q])), key=lambda i: (-cos(fine[q], fine[i]), i))[:5]
+        assert [r["vec_id"] for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])] == wanted
+    assert len(out) == 15
+
+
 def test_toxicity(awkward, spark):
     docs = [(k % 2, f"some words here {'you idiot moron' if k % 2 else 'nice day'} number{k} and more") for k in range(200)]
     machine = toxicity.Machine(*toxicity.train(docs))
