@@ -43,7 +43,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL has no string-kernel machine and no tokenizer; tests hold the stages against plain versions.
+#: SQL has no string-kernel machine and no tokenizer; tests hold single operators, not this chain, against plain versions.
 ORACLE_SQL = None
 
 

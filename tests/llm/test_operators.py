@@ -68,6 +68,16 @@ def test_packing_round_trip(awkward, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_packing_ids_equal_the_library():
+    import tokenizers
+
+    path, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    t = tokenizers.Tokenizer.from_file(path)
+    rng = random.Random(10)
+    texts = ["".join(rng.choice("ab the ing \t\n日é😀\x1c\xa0²'s0!") for _ in range(rng.randint(0, 200))) for _ in range(400)] + ["plain words, and 123 more", "caf\xe9 \xfcber"]
+    assert [list(memoryview(x).cast("I")) for x in packing.Encoder(path, ranks).encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", "a\\ </turn>\n### User: b"), (1, 1, "assistant", "\\### Assistant: </turn> ok"), (2, 0, None, None), (None, 0, "to: ol", "##"), (3, None, "assistant", "")]
     out = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
@@ -200,6 +210,23 @@ def test_licenses(awkward, empty):
     assert licenses.scan_licenses(awkward).count() == len(AWKWARD) and licenses.scan_licenses(empty).count() == 0
 
 
+def test_licenses_against_all_places():
+    """Phrases by slices of words, templates by the automaton from every place rather than from anchors."""
+    rng = random.Random(11)
+    scanner = licenses.Scanner()
+    marked = [m for own in licenses.TEMPLATES.values() for m in ([own] if isinstance(own, str) else own)]
+    pieces = list(licenses.PHRASES) + [m.replace("<<optional>>", "").replace("<<end>>", "") for m in marked] + ["some other words", "license"]
+    for _ in range(200):
+        words = " ".join(w if not w.startswith("<<") and not w.endswith(">>") else "odd" for w in " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 4))).split())
+        words = words.split()
+        at = {(k, label) for p, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split()}
+        found = {label for label, automaton, *_ in scanner.templates if any(automaton.match([w.encode() for w in words], k) > k for k in range(len(words)))}
+        n, n_base, first, last, base, labels, _ = scanner.scan(" ".join(words))
+        places = [k for k, _ in at]
+        assert (n, n_base, first, last) == (len(words), len(places), min(places, default=None), max(places, default=None))
+        assert base == ",".join(sorted({x for _, x in at})) and labels == ",".join(sorted({x for _, x in at} | found))
+
+
 def test_versions_of_the_gpl():
     s = licenses.Scanner()
     for version in ("v3", "version 3", "v3 version 3", "Version 3.0"):
