@@ -1,19 +1,20 @@
 """Nearest neighbours by shifted space-filling curves.
 
-Vectors are projected to a few dimensions, each made even by a sample's
+Equal vectors count as one node from the start, which keeps its smallest
+identifiers, so that a vector that a third of all rows hold is searched once.
+Nodes are projected to a few dimensions, each made even by a sample's
 quantiles, and laid along several Hilbert curves, each over another projection
 and shifted by another offset. Spark range-partitions every ordering by its
-key; a window of neighbouring keys slides along it and gives each query its
-candidates, and the orderings' candidates merge into a first list that is
-reranked on the original vectors.
-
-Then each query's window on the first ordering widens as far as it must: the
-ordering is cut into runs, each with a cap (centre and angle) that holds its
-vectors, and a run is searched for a query unless its cap shows that nothing
-in it comes near the query's list so far. The lists are therefore exact; how
-many runs are passed over depends on how well the data cluster. Of vectors
-without any structure, as random ones of many dimensions, none are, and the
-search is the query set against all rows, in blocks.
+key and cuts it into blocks of about ``BLOCK`` keys, across the borders of
+partitions. A query's window is its own block and the two beside it; the
+windows of all curves merge, and the best of them are reranked on the original
+vectors. Windows compare vectors of one byte a component, so that a curve
+moves a fraction of a vector; only what may be among the nearest is compared
+exactly.
+
+A window's size doesn't depend on the table, hence cost grows in proportion to
+it. Recall does depend on the data: vectors without any structure lie apart on
+all curves the more often the more of them there are.
 """
 
 from __future__ import annotations
@@ -28,13 +29,14 @@ from spanweave.scratch import Scratch
 
 NEAREST = 5
 #: Curves, dimensions of each and bits of a dimension, and the bounded sample for quantiles
-CURVES, DIMENSIONS, BITS, SAMPLE = 3, 6, 8, 4096
-#: Keys in half a window; rows in a run at least, and runs altogether at most (but for one more a partition)
-WINDOW, RUN, RUNS = 1024, 4096, 4096
-#: Queries that one task holds
-QUERIES = 4096
+CURVES, DIMENSIONS, BITS, SAMPLE = 10, 10, 6, 4096
+#: Keys in a block; a window is three of them
+BLOCK = 4096
+#: What a block gives a query, and what of all windows is reranked, as multiples of the neighbours wanted
+SHARE, RERANK = 3, 10
+#: Queries that are compared with a block at a time, and tasks that a node's query rows are dealt over
+QUERIES, SALTS = 1024, 16
 SEED = 10
-SLACK = 1e-9
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -83,203 +85,146 @@ class Curves:
         return out
 
 
-def rows_of(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, dim)
+def rows_of(column: pa.Array, dim: int, kind=np.float64) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, dim)
 
 
 def unit_of(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1)[:, None]  # components near the ends of the range must not overflow
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of rows with rows; each by the same operations in the same order."""
+    """Of rows with rows; each by the same operations in the same order. Powers of two, which round nothing, keep squares in range."""
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None]) for x in (a, b))
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-class Lists:
-    """The best candidates of some queries so far."""
+def codes_of(unit: np.ndarray) -> np.ndarray:
+    """A byte a component, on a scale of the vector's own largest."""
+    return np.rint(unit / np.abs(unit).max(1)[:, None] * 127).astype(np.int8)
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, least: np.ndarray | None = None):
-        self.ids, self.vectors, self.unit, self.k = ids, vectors, unit_of(vectors), k
-        self.least = np.full(len(ids), -2.0) if least is None else least.copy()
-        self.found: list[list[tuple[float, int]]] = [[] for _ in ids]
 
-    def offer(self, ids: np.ndarray, vectors: np.ndarray, which: np.ndarray | None = None) -> None:
-        """which: places of the queries that these rows concern; all by default."""
-        which = np.arange(len(self.ids)) if which is None else which
-        if not len(which) or not len(ids):
-            return
-        near = self.unit[which] @ unit_of(vectors).T >= self.least[which, None] - SLACK
-        near &= ids[None, :] != self.ids[which, None]
-        q, r = np.nonzero(near)
-        if len(q) > 4 * self.k * len(which):  # the lists are young: rank first
-            rough = np.where(near, self.unit[which] @ unit_of(vectors).T, -3)
-            one = rough[:, np.unique(ids, return_index=True)[1]]  # a row of each identifier: repeats would fill the first k places
-            last = min(self.k, one.shape[1]) - 1
-            kth = -np.partition(-one, last, axis=1)[:, last]
-            q, r = np.nonzero(near & (rough >= kth[:, None] - SLACK))
-        scores = cosines(self.vectors[which[q]], vectors[r])
-        for place, score, i in zip(which[q].tolist(), scores.tolist(), ids[r].tolist(), strict=True):
-            if (score, i) not in self.found[place]:
-                self.found[place].append((score, i))
-        for place in np.unique(which[q]).tolist():
-            best = sorted(self.found[place], key=lambda x: (-x[0], x[1]))[: self.k]
-            self.found[place] = best
-            if len(best) == self.k:
-                self.least[place] = max(self.least[place], best[-1][0])
-
-    def rows(self) -> pa.RecordBatch | None:
-        out = [(int(q), i, s) for q, own in zip(self.ids, self.found, strict=True) for s, i in own]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), FOUND_TYPES, strict=True)], names=["query_id", "vec_id", "score"]) if out else None
-
-
-FOUND = "query_id long, vec_id long, score double"
-FOUND_TYPES = (pa.int64(), pa.int64(), pa.float64())
-
-
-def laid_out(valid: DataFrame, curves: Curves, dim: int) -> DataFrame:
-    """(curve, key, id, query, vector) of each row on each curve."""
+def packed(valid: DataFrame) -> DataFrame:
+    """(id, query, vector): vectors as little-endian doubles."""
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                for c, key in enumerate(curves.keys(unit_of(rows_of(batch.column(2), dim)))):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), c, dtype=np.int32)), pa.array(key), *batch.columns], names=["curve", "key", "id", "query", "vector"])
-
-    return valid.select("id", "query", "vector").mapInArrow(run, "curve int, key long, id long, query boolean, vector binary")
-
+            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype("<f8") + 0.0  # -0.0 is 0.0
+            size = len(flat) // max(1, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in flat.reshape(batch.num_rows, size)], pa.binary())], names=["id", "query", "vector"])
 
-def window_candidates(ordered: DataFrame, dim: int, k: int) -> DataFrame:
-    """The best of each query's window of neighbouring keys, as far as its partition reaches."""
+    return valid.select("id", "query", "v").mapInArrow(run, "id long, query boolean, vector binary")
 
-    def run(batches):
-        held: dict[str, np.ndarray] | None = None
-        curve = None
-
-        def best(ids, query, vectors, low, high):
-            """Of queries at places low to high of the rows held."""
-            at = np.flatnonzero(query[low:high]) + low
-            for start in range(0, len(at), 256):
-                part = at[start : start + 256]
-                a, b = max(0, part[0] - WINDOW), part[-1] + WINDOW + 1
-                lists = Lists(ids[part], vectors[part], k)
-                lists.offer(ids[a:b], vectors[a:b])
-                if (out := lists.rows()) is not None:
-                    yield out
-
-        done = 0  # queries before this place have been served
-        for batch in batches:
-            for c in np.unique(batch.column(0).to_numpy()).tolist():
-                mine = batch.filter(pa.array(batch.column(0).to_numpy() == c))
-                new = (mine.column(2).to_numpy(), np.array(mine.column(3).to_pylist(), dtype=bool), rows_of(mine.column(4), dim))
-                if curve is not None and c != curve:
-                    yield from best(*held, done, len(held[0]))
-                    held, done = None, 0
-                curve = c
-                held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
-                ready = len(held[0]) - WINDOW
-                if ready > done:
-                    yield from best(*held, done, ready)
-                    cut = max(0, ready - WINDOW)
-                    held, done = tuple(x[cut:] for x in held), ready - cut
-        if held is not None:
-            yield from best(*held, done, len(held[0]))
-
-    return ordered.select("curve", "key", "id", "query", "vector").mapInArrow(run, FOUND)
-
-
-def runs_with_caps(ordered: DataFrame, dim: int, length: int) -> DataFrame:
-    """(run, id, vector, cap): consecutive rows of a partition by run; a run's first row carries its cap."""
 
-    def run(batches):
-        from pyspark import TaskContext
+HASHES = ["ha", "hb"]
 
-        number = TaskContext.get().partitionId() << 32
-        held, size = [], 0
 
-        def out():
-            ids, vectors = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            unit = unit_of(vectors)
-            centre = unit.mean(0)
-            norm = np.linalg.norm(centre)
-            centre = centre / norm if norm > 1e-12 else unit[0]
-            cap = np.append(centre, np.arccos(np.clip((unit @ centre).min(), -1, 1))).tobytes()
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), number)), pa.array(ids), pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array([cap] + [None] * (len(ids) - 1), pa.binary())], names=["run", "id", "vector", "cap"])
+def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """(ha, hb, node, vector, query, ids) of each vector: whether a query holds it, and its k + 1 smallest identifiers.
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append((batch.column(0).to_numpy(), rows_of(batch.column(1), dim)))
-            size += batch.num_rows
-            if size >= length:
-                yield out()
-                number, held[:], size = number + 1, [], 0
-        if size:
-            yield out()
+    Rows are aggregated and limited on the map side, so that copies of one vector don't meet.
+    """
+    own = rows.groupBy(*HASHES).agg(F.first("vector").alias("vector"), F.max("query").alias("query"))
+    rank = F.row_number().over(Window.partitionBy(*HASHES).orderBy("id"))
+    least = rows.select(*HASHES, "id").distinct().withColumn("r", rank).filter(F.col("r") <= k + 1).groupBy(*HASHES).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return own.join(least, HASHES).withColumn("node", F.monotonically_increasing_id())
 
-    return ordered.select("id", "vector").mapInArrow(run, "run long, id long, vector binary, cap binary")
 
+def laid_out(nodes: DataFrame, curves: Curves, dim: int) -> DataFrame:
+    """(curve, key, node, query, code) of each node on each curve."""
 
-def runs_to_search(queries: DataFrame, caps: list[tuple[int, bytes]], dim: int, chunks: int) -> DataFrame:
-    """(run, part, id, vector, least) for each query (id, vector, least) and run whose cap may hold something near enough."""
-    broadcast = queries.sparkSession.sparkContext.broadcast((np.array([c[0] for c in caps], dtype=np.int64), np.frombuffer(b"".join(c[1] for c in caps)).reshape(-1, dim + 1)))
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                unit = unit_of(rows_of(batch.column(2), dim))
+                code = pa.array([c.tobytes() for c in codes_of(unit)], pa.binary())
+                for c, key in enumerate(curves.keys(unit)):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), c, dtype=np.int32)), pa.array(key), batch.column(0), batch.column(1), code], names=["curve", "key", "node", "query", "code"])
+
+    return nodes.select("node", "query", "vector").mapInArrow(run, "curve int, key long, node long, query boolean, code binary")
+
+
+def in_blocks(ordered: DataFrame, scratch: Scratch) -> DataFrame:
+    """ordered (curve, key, node, query, code) with block: consecutive keys of a curve, numbered along it."""
+    place = F.monotonically_increasing_id()
+    written = scratch.save(ordered.repartitionByRange("curve", "key").sortWithinPartitions("curve", "key", "node").withColumn("place", place))
+    placed = written.withColumns({"part": F.shiftright("place", 33), "place": F.col("place").bitwiseAND(F.lit((1 << 33) - 1))})
+    parts = placed.groupBy("curve", "part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    parts = parts.withColumn("blocks", F.greatest(F.lit(1).cast("long"), F.round(F.col("n") / BLOCK).cast("long")))
+    before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("offset", F.coalesce(F.sum("blocks").over(before), F.lit(0).cast("long")))
+    # parts has a row a partition and curve: as many as tasks
+    return placed.join(F.broadcast(parts), ["curve", "part"]).withColumn("block", F.expr("offset + (place - first) * blocks div n")).select("curve", "block", "node", "query", "code")
+
+
+def window_candidates(blocks: DataFrame, dim: int, k: int) -> DataFrame:
+    """(query, node, near): the best of each query node's window, a few of each block of it."""
+    rows = blocks.select("curve", "block", F.lit(1).alias("row"), "node", "code")
+    around = F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))
+    asked = blocks.filter("query").select("curve", around.alias("block"), F.lit(0).alias("row"), "node", "code")
+    cells = asked.unionByName(rows).repartition("curve", "block").sortWithinPartitions("curve", "block", "row")
+
+    def best(held):
+        of = [np.concatenate([h[j] for h in held]) for j in range(3)]
+        is_row = of[0] == 1
+        queries, nodes = of[1][~is_row], of[1][is_row]
+        if not len(queries) or not len(nodes):
+            return
+        code = of[2].astype(np.float32)
+        code /= np.sqrt((code * code).sum(1))[:, None]
+        a, b = code[~is_row], code[is_row]
+        take = min(SHARE * k, len(nodes))
+        for start in range(0, len(queries), QUERIES):
+            own = queries[start : start + QUERIES]
+            near = a[start : start + QUERIES] @ b.T
+            near[own[:, None] == nodes[None, :]] = -2
+            at = np.argpartition(-near, take - 1, axis=1)[:, :take]
+            value = np.take_along_axis(near, at, 1).ravel()
+            fine = value > -2
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, take)[fine]), pa.array(nodes[at.ravel()][fine]), pa.array(value[fine])], names=["query", "node", "near"])
 
     def run(batches):
-        runs, cap = broadcast.value
+        key, held = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = rows_of(batch.column(1), dim)
-            least = batch.column(2).to_numpy(zero_copy_only=False)
-            angle = np.arccos(np.clip(unit_of(vectors) @ cap[:, :dim].T, -1, 1))
-            near = np.cos(np.maximum(0, angle - cap[:, dim])) >= least[:, None] - 1e-7
-            q, r = np.nonzero(near)
-            take = pa.array(q)
-            ids = batch.column(0).take(take)
-            yield pa.RecordBatch.from_arrays([pa.array(runs[r]), pa.array(ids.to_numpy() // 7919 % chunks), ids, batch.column(1).take(take), batch.column(2).take(take)], names=["run", "part", "id", "vector", "least"])
+            curve, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            own = (batch.column(2).to_numpy(), batch.column(3).to_numpy(), rows_of(batch.column(4), dim, np.int8))
+            edges = np.flatnonzero((curve[1:] != curve[:-1]) | (block[1:] != block[:-1])) + 1
+            for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(curve)], strict=True):
+                if (curve[s], block[s]) != key:
+                    if held:
+                        yield from best(held)
+                    key, held = (curve[s], block[s]), []
+                held.append(tuple(x[s:e] for x in own))
+        if held:
+            yield from best(held)
 
-    return queries.select("id", "vector", "least").mapInArrow(run, "run long, part long, id long, vector binary, least double")
+    return cells.mapInArrow(run, "query long, node long, near float")
 
 
-def searched(cells: DataFrame, dim: int, k: int) -> DataFrame:
-    """The best of each cell (run, part): its queries come first (least is set), then its rows stream past them."""
+def with_cosines(pairs: DataFrame, dim: int) -> DataFrame:
+    """(query, score, ids) of pairs (query, a, b, ids): the cosine of vectors a and b."""
 
     def run(batches):
-        key, asked, lists = None, [], None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            runs, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            ids, least = batch.column(2).to_numpy(), batch.column(4).to_numpy(zero_copy_only=False)
-            vectors = rows_of(batch.column(3), dim)
-            edges = np.flatnonzero((runs[1:] != runs[:-1]) | (parts[1:] != parts[:-1])) + 1
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(runs)], strict=True):
-                if (runs[a], parts[a]) != key:
-                    if lists is not None and (out := lists.rows()) is not None:
-                        yield out
-                    key, asked, lists = (runs[a], parts[a]), [], None
-                is_query = ~np.isnan(least[a:b])
-                if is_query.any():
-                    asked.append((ids[a:b][is_query], vectors[a:b][is_query], least[a:b][is_query]))
-                if (~is_query).any():
-                    if lists is None and asked:
-                        lists = Lists(*(np.concatenate([x[j] for x in asked]) for j in (0, 1)), k, np.concatenate([x[2] for x in asked]))
-                    if lists is not None:
-                        lists.offer(ids[a:b][~is_query], vectors[a:b][~is_query])
-        if lists is not None and (out := lists.rows()) is not None:
-            yield out
-
-    return cells.mapInArrow(run, FOUND)
+            score = cosines(rows_of(batch.column(1), dim), rows_of(batch.column(2), dim)) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), batch.column(3)], names=["query", "score", "ids"])
+
+    return pairs.select("query", "a", "b", "ids").mapInArrow(run, "query long, score double, ids array<long>")
 
 
 def nearest_neighbours(vectors: DataFrame, query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEAREST) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k rows of largest cosine for each row that query selects.
+    """(query_id, rank, vec_id, score): the k rows of largest cosine found for each row that query selects.
 
     Nearest first, ties to the smaller identifier, all candidates if there are
     fewer. Vectors that are null, empty, zero or hold null or non-finite
-    components take no part, nor do those without identifier. Vectors are
-    compared with those of their own length, by a search for each length. Rows that repeat an identifier with its
-    vector count once, and a query's own identifier isn't its neighbour.
+    components take no part, nor do those without identifier; an empty table
+    gives an empty one. Vectors are compared with those of their own length,
+    by a search for each length. Rows that repeat an identifier with its
+    vector count once, one identifier's different vectors are a row each, and
+    a query's own identifier isn't its neighbour. Other columns aren't read.
     """
     spark = vectors.sparkSession
     python_ready(spark)
@@ -287,54 +232,36 @@ def nearest_neighbours(vectors: DataFrame, query: Column, id_col: str = "vec_id"
     v = F.col(vector_col).cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
     valid = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(fine).select(F.col(id_col).cast("long").alias("id"), F.coalesce(query, F.lit(False)).alias("query"), v.alias("v"))
-    schema = "query_id long, rank int, vec_id long, score double"
     lengths = sorted(r["n"] for r in valid.select(F.size("v").alias("n")).distinct().collect())
-    if not lengths:
-        return spark.createDataFrame([], schema)
-    found = None
+    found = spark.createDataFrame([], "query_id long, vec_id long, score double")
     for dim in lengths:
-        own = found_of_length(valid.filter(F.size("v") == dim), dim, k, scratch)
-        found = own if found is None else found.unionByName(own)
+        found = found.unionByName(found_of_length(valid.filter(F.size("v") == dim), dim, k, scratch))
     ranked = found.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def found_of_length(valid: DataFrame, dim: int, k: int, scratch: Scratch) -> DataFrame:
-    """(query_id, vec_id, score) among rows (id, query, v) with dim components, the k best of each query and others."""
+    """(query_id, vec_id, score) among rows (id, query, v) with dim components, the k best of each query."""
     sample = [r["v"] for r in valid.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()]
     curves = Curves(unit_of(np.array(sample)))
-    valid = packed(valid)
-    ordered = scratch.save(laid_out(valid, curves, dim).repartitionByRange("curve", "key").sortWithinPartitions("curve", "key", "id"))
-    counts = ordered.filter("curve = 0").agg(F.count(F.lit(1)).alias("n"), F.count_if("query").alias("q")).first()
-
-    first = scratch.save(window_candidates(laid_again(ordered), dim, k))
-    least = first.distinct().withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
-    queries = ordered.filter("curve = 0 AND query").select("id", "vector").distinct().join(least, "id", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
-
-    along = laid_again(ordered.filter("curve = 0"))
-    runs = scratch.save(runs_with_caps(along, dim, max(RUN, counts["n"] // RUNS)))
-    caps = [(r["run"], bytes(r["cap"])) for r in runs.filter("cap IS NOT NULL").select("run", "cap").collect()]
-    asked = scratch.save(runs_to_search(queries, caps, dim, max(1, -(-counts["q"] // QUERIES))))
-    wanted = asked.select("run", "part").distinct()
-    cells = asked.unionByName(runs.select("run", "id", "vector").join(wanted, "run").withColumn("least", F.lit(float("nan")))).repartition("run", "part").sortWithinPartitions("run", "part", F.isnan("least"), "id")
-    return first.unionByName(searched(cells.select("run", "part", "id", "vector", "least"), dim, k))
-
-
-def laid_again(ordered: DataFrame) -> DataFrame:
-    """The written ordering, in ranges again: files are read in pieces that needn't follow it."""
-    return ordered.repartitionByRange("curve", "key").sortWithinPartitions("curve", "key", "id")
-
-
-def packed(valid: DataFrame) -> DataFrame:
-    """(id, query, vector): vectors as little-endian doubles."""
-
-    def run(batches):
-        for batch in batches:
-            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype("<f8")
-            size = len(flat) // max(1, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in flat.reshape(batch.num_rows, size)], pa.binary())], names=["id", "query", "vector"])
-
-    return valid.mapInArrow(run, "id long, query boolean, vector binary")
+    rows = packed(valid).withColumns({"ha": F.xxhash64("vector"), "hb": F.xxhash64(F.lit(SEED), "vector")})
+    nodes = scratch.save(distinct_vectors(rows, k))
+    blocks = in_blocks(laid_out(nodes, curves, dim), scratch)
+
+    near = window_candidates(blocks, dim, k).repartition("query").groupBy("query", "node").agg(F.max("near").alias("near"))
+    order = Window.partitionBy("query").orderBy(F.desc("near"), "node")
+    best = near.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= RERANK * k).select("query", "node")
+    # a node's own rows are each other's neighbours too
+    best = scratch.save(best.unionByName(nodes.filter("query").select(F.col("node").alias("query"), "node")))
+    pairs = best.join(nodes.select("node", F.col("vector").alias("b"), "ids"), "node").join(nodes.select(F.col("node").alias("query"), F.col("vector").alias("a")), "query")
+    entries = F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("score"), i.alias("id")))))
+    lists = with_cosines(pairs, dim).groupBy("query").agg(F.slice(F.array_sort(entries), 1, k + 1).alias("entries"))
+
+    salt = lambda x: F.pmod(F.xxhash64(x), F.lit(SALTS)).cast("int")
+    asked = rows.filter("query").select("id", *HASHES).distinct().withColumn("salt", salt("id"))
+    dealt = nodes.filter("query").select(*HASHES, F.col("node").alias("query")).join(lists, "query").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    others = F.slice(F.filter("entries", lambda e: e["id"] != F.col("id")), 1, k)
+    return asked.join(dealt, [*HASHES, "salt"]).select(F.col("id").alias("query_id"), F.explode(others).alias("e")).select("query_id", F.col("e.id").alias("vec_id"), (-F.col("e.score")).alias("score"))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
