@@ -59,7 +59,13 @@ class TemplateAutomaton:
             return len(self.word) - 1
 
         at = state()
+        self.runs: list[tuple[list[str], int]] = [([], 0)]  # mandatory words that stand together, and the most words before them
         for part in re.findall(r"<<optional>>|<<end>>|<<any \d+>>|[^\s<]+", markup):
+            if part.startswith("<<"):
+                self.runs.append(([], 0))
+            elif not opened:
+                own, before = self.runs[-1]
+                self.runs[-1] = ([*own, part], before if own else at)  # a state for each word before, whatever region it is in
             if part == "<<optional>>":
                 opened.append(at)
             elif part == "<<end>>":
@@ -76,6 +82,18 @@ class TemplateAutomaton:
                 self.word[at] = part.encode()
                 at = state()
         self.end = at
+        starts = self.closed({0})
+        self.first = None if any(self.wild[s] >= 0 for s in starts) else {self.word[s] for s in starts}
+
+    def longest_run(self) -> tuple[bytes, int]:
+        """The longest mandatory run, with spaces around it, without which nothing matches, and the most words of a match before it."""
+        words, before = max(self.runs, key=lambda r: len(r[0]))
+        if not words:
+            raise ValueError("a template needs mandatory words")
+        return f" {' '.join(words)} ".encode(), before
+
+    def may_start(self, word: bytes) -> bool:
+        return self.first is None or word in self.first
 
     def closed(self, states: set[int]) -> set[int]:
         todo = list(states)
@@ -104,48 +122,38 @@ class Scanner:
         self.templates = []
         for label, markup in ((k, m) for k, own in templates.items() for m in ([own] if isinstance(own, str) else own)):
             a = TemplateAutomaton(markup)
-            # mandatory words that stand together before the first region: a text without them can't match
-            lead = re.split(r"<<", markup)[0].split()
-            body = max((x.split() for x in re.split(r"<<optional>>(?:[^<]|<<any \d+>>)*<<end>>|<<any \d+>>", markup)), key=len)
-            self.templates.append((label, a, f" {' '.join(body)} ".encode(), lead))
+            self.templates.append((label, a, *a.longest_run()))
 
     def scan(self, text: str) -> tuple:
         """The values of SCHEMA."""
         words = text.encode("utf-8", "surrogatepass").translate(TO_WORDS).split()
         line = b" " + b" ".join(words) + b" "
-        places, base = [], set()
+        n, first, last, base = 0, None, None, set()
         for phrase, label in self.phrases:
-            at = line.find(phrase)
-            while at >= 0:
-                places.append(line.count(b" ", 0, at + 1) - 1)
-                base.add(label)
-                at = line.find(phrase, at + 1)
+            for k in places(line, phrase):
+                n, base = n + 1, base | {label}
+                first, last = k if first is None else min(first, k), k if last is None else max(last, k)
         found, matched = set(), 0
-        for label, automaton, body, lead in self.templates:
-            if body not in line:
-                continue
-            anchors = self.anchors(line, body, words, lead)
-            ends = [(s, e) for s in anchors if (e := automaton.match(words, s)) > s]
-            if ends:
-                found.add(label)
-                matched = max(matched, *(e - s for s, e in ends))
+        for label, automaton, run, reach in self.templates:
+            done = -1  # places up to this one have been tried
+            for k in places(line, run):
+                for s in range(max(done + 1, k - reach), k + 1):
+                    if automaton.may_start(words[s]) and (e := automaton.match(words, s)) > s:
+                        found.add(label)
+                        matched = max(matched, e - s)
+                done = k
         score = 0.0 if not (base or found) else (0.5 if not found else 0.75) + 0.25 * min(1.0, matched / max(1, len(words)))
-        return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | found)), score
-
-    @staticmethod
-    def anchors(line: bytes, body: bytes, words: list[bytes], lead: list[str]) -> list[int]:
-        """Places where a match may start: a lead's own, or those up to the regions' length before the longest mandatory run."""
-        run = f" {' '.join(lead)} ".encode() if lead else body
-        out, at = [], line.find(run)
-        while at >= 0:
-            k = line.count(b" ", 0, at + 1) - 1
-            out += [k] if lead else range(max(0, k - REACH), k + 1)
-            at = line.find(run, at + 1)
-        return sorted(set(out))
+        return len(words), n, first, last, ",".join(sorted(base)), ",".join(sorted(base | found)), score
 
 
-#: Words that the regions before a template's longest mandatory run can hold
-REACH = 24
+def places(line: bytes, run: bytes):
+    """Where a run of words with spaces around it begins in a line of words, counted from the last place on."""
+    at, counted, k = line.find(run), 0, -1
+    while at >= 0:
+        k += line.count(b" ", counted, at + 1)
+        counted = at + 1
+        yield k
+        at = line.find(run, at + 1)
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,7 +162,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str | tuple[str, ...]] =
     Null texts count as empty: no words, no labels, score 0. Places count
     words from 0. score is 0 without a label, 0.5 to 0.75 with phrases alone
     and 0.75 to 1 with a template, by the share of the text that it covers.
-    One pass without a shuffle; other columns aren't read.
+    Repeated rows get the same, an empty table gives an empty one. One pass
+    without a shuffle, in time proportional to a text's length; other columns
+    aren't read.
     """
     python_ready(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
