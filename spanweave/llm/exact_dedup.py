@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.llm.common import table, text_or_empty, without
+from spanweave.scratch import Scratch
 
 #: A text with over 1 / (HOT_PER_PARTITION * partitions) of the rows is hot, so there are less than that many.
 HOT_PER_PARTITION = 4
@@ -40,7 +41,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null texts count as empty and equal each other. Null identifiers come
     last; of rows that tie on the smallest one exactly one is kept. An empty
     table gives an empty one. Input columns named like an added one are
-    replaced. carry=False returns the identifier and the added columns only.
+    replaced. Whole texts are compared, however long; a text's normal form
+    stands once in a row. carry=False returns the identifier and the added columns only.
     """
     spark = docs.sparkSession
     docs = without(docs, *ADDED)
@@ -53,8 +55,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         *([F.struct(*[F.when(F.col(c).eqNullSafe(norm), F.lit(None)).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in others], F.col(text_col).isNull().alias("__null")).alias("__row")] if others else []),
     ).withColumn("__h", F.xxhash64("__norm"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    least = max(HOT_ROWS, docs.count() // (HOT_PER_PARTITION * parts))
-    hot = [r["__h"] for r in rows.groupBy("__h").count().filter(F.col("count") > least).select("__h").collect()]
+    # one pass over the texts gives their number and the hot ones
+    counts = Scratch(spark).save(rows.groupBy("__h").count())
+    least = max(HOT_ROWS, (counts.agg(F.sum("count")).first()[0] or 0) // (HOT_PER_PARTITION * parts))
+    hot = [r["__h"] for r in counts.filter(F.col("count") > least).select("__h").collect()]
 
     cold = rows.filter(~F.col("__h").isin(hot)) if hot else rows
     same = Window.partitionBy("__splitter", "__h", "__norm")
