@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from spanweave.llm.common import chunks, python_ready, table, text_or_empty, without
 
-#: The bounded sample that the machine learns from: documents a class, and characters of text altogether
-SAMPLE_ROWS, SAMPLE_CHARS = {1: 1500, 0: 3000}, 8_000_000
+#: The bounded sample that the machine learns from: documents a class, characters of text altogether and of one text
+SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_TEXT = {1: 1500, 0: 3000}, 8_000_000, 400_000
 LANDMARKS = {"toxic": 56, "clean": 20}
 #: Decay of a subsequence for each letter it spans, the widest span, the kernel value below which words count as unrelated, the
 #: power that sharpens it, the value from which two landmarks are one, and slack for subsequences that a word repeats
@@ -48,6 +48,11 @@ def letters(words: list[str]) -> list[str]:
     return plain.split("\n")
 
 
+def windows(word: str) -> list[str]:
+    """The word, or pieces of WINDOW letters that overlap and cover it."""
+    return [word[at : at + WINDOW] for at in range(0, max(1, len(word) - STEP), STEP)] if len(word) > WINDOW else [word]
+
+
 class SubsequenceKernel:
     """Kernel values of words with landmarks; a mark before and after each word takes part like a letter."""
 
@@ -62,7 +67,7 @@ class SubsequenceKernel:
         self.row_of = np.zeros(1 << 18, dtype=np.int32)  # 0: in no landmark
         rows = [np.zeros(len(landmarks))]
         for k, word in enumerate(landmarks):
-            codes = self.code_of[[ord(c) for c in f"<{word[:WINDOW]}>"]]
+            codes = self.code_of[[ord(c) for c in f"<{word}>"]]
             for a, b, c in combinations(range(len(codes)), 3):
                 if c - a < SPAN:
                     code = int(codes[a]) << 12 | int(codes[b]) << 6 | int(codes[c])
@@ -78,8 +83,8 @@ class SubsequenceKernel:
         out = np.zeros((len(words), len(self.landmarks)), dtype=np.float32)
         pieces, owner = [], []
         for k, w in enumerate(words):
-            for at in range(0, max(1, len(w) - STEP), STEP) if len(w) > WINDOW else (0,):
-                pieces.append(f"<{w[at : at + WINDOW]}>")
+            for piece in windows(w):
+                pieces.append(f"<{piece}>")
                 owner.append(k)
         sizes, owner = np.array([len(p) for p in pieces], dtype=np.int64), np.array(owner, dtype=np.int64)
         for low, high in ((4, 8), (9, 11), (12, 15), (16, WINDOW + 2)):
@@ -158,14 +163,15 @@ def choose_landmarks(docs: list[tuple[int, list[list[str]]]]) -> list[str]:
     rate = lambda w, k: (counts[w][k] + 0.5) / (totals[k] + 1)
     toxic: list[str] = []
     for w in sorted((w for w in counts if counts[w][1] >= 3), key=lambda w: (-counts[w][1] * np.log(rate(w, 1) / rate(w, 0)), w))[: 8 * LANDMARKS["toxic"]]:
-        # a word much like one that is there adds nothing
-        if len(toxic) < LANDMARKS["toxic"] and (not toxic or SubsequenceKernel(toxic)([w]).max() < APART**POWER):
-            toxic.append(w[:WINDOW])
+        for piece in windows(w):
+            # a word much like one that is there adds nothing
+            if len(toxic) < LANDMARKS["toxic"] and (not toxic or SubsequenceKernel(toxic)([piece]).max() < APART**POWER):
+                toxic.append(piece)
     # of clean documents the words that come nearest to those
     often = sorted((w for w in counts if counts[w][0] >= 3 and counts[w][0] > 10 * counts[w][1] * totals[0] / totals[1] / 5 and w not in set(toxic)), key=lambda w: (-counts[w][0], w))
     near = SubsequenceKernel(toxic)(often).max(1, initial=0) if toxic else np.zeros(len(often))
     clean = [often[k] for k in np.argsort(-near, kind="stable")[: LANDMARKS["clean"]] if near[k] > 0]
-    return [w[:WINDOW] for w in toxic + clean]
+    return list(dict.fromkeys(toxic + [piece for w in clean for piece in windows(w)]))
 
 
 class Machine:
@@ -293,19 +299,25 @@ def held_out(id_col: str = "doc_id"):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[int, str]]:
-    """At most SAMPLE_ROWS documents a label and SAMPLE_CHARS characters, in hash order, from the training fold."""
+    """(label, text) of at most SAMPLE_ROWS identifiers a label and SAMPLE_CHARS characters, in hash order, from the training fold.
+
+    An identifier counts once: with its highest label and one of its texts.
+    Texts of over SAMPLE_TEXT characters teach nothing, so that none of them
+    takes the others' room.
+    """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("__label"))
     wanted = None
     for label, n in SAMPLE_ROWS.items():
         part = known.filter(F.col("__label") == label).orderBy(F.xxhash64(id_col), id_col).limit(n)
         wanted = part if wanted is None else wanted.unionByName(part)
-    chosen = docs.select(id_col, text_or_empty(text_col).alias("__text")).join(F.broadcast(wanted), id_col)
-    sizes = chosen.select(id_col, "__label", F.length("__text").alias("__n"), F.xxhash64(id_col).alias("__h")).collect()
+    rows = docs.select(id_col, text_or_empty(text_col).alias("__text")).filter(F.length("__text") <= SAMPLE_TEXT).join(F.broadcast(wanted), id_col)
+    chosen = rows.groupBy(id_col, "__label").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
+    sizes = chosen.select(id_col, F.length("__text").alias("__n"), F.xxhash64(id_col).alias("__h")).collect()
     total, ids = 0, []
-    for r in sorted(sizes, key=lambda r: r["__h"]):
-        if total + r["__n"] > SAMPLE_CHARS:
-            continue
+    for r in sorted(sizes, key=lambda r: (r["__h"], r[id_col])):
         total += r["__n"]
+        if total > SAMPLE_CHARS:
+            break
         ids.append(r[id_col])
     kept = chosen.filter(F.col(id_col).isin(ids)) if len(ids) < len(sizes) else chosen
     return sorted((r["__label"], r["__text"]) for r in kept.collect())
@@ -326,9 +338,11 @@ def machine_of(model: tuple) -> Machine:
 def score_toxicity(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """The columns keep (all, if None) of docs with score (0 to 1) and predicted (score >= 0.5).
 
-    Every whole text is scored; null and empty ones get the score of a text
-    without any related word. Rows that repeat are scored alike. Input columns
-    named like an added one are replaced. One pass without a shuffle.
+    Every whole text is scored, however long, in memory of some times its
+    size; null and empty ones get the score of a text without any related
+    word. Rows that repeat are scored alike; an empty table gives an empty
+    one. Input columns named like an added one are replaced. One pass without
+    a shuffle.
     """
     python_ready(docs.sparkSession)
     docs = without(docs, *ADDED)
