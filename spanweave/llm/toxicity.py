@@ -13,6 +13,7 @@ margin is that of its worst sentence; a logistic curve turns it into a score.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from itertools import combinations
 from sys import intern
 
@@ -32,6 +33,8 @@ DECAY, SPAN, FLOOR, POWER, APART, SURE = 0.7, 6, 0.45, 2, 0.75, 0.8
 WINDOW, STEP = 24, 12
 ROUNDS, REGULAR = 4, 1e-2
 CACHE = 500_000
+#: Words whose kernel values are worked out at a time in training
+WORDS = 20_000
 # Digits and signs that stand for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 #: Four or more single letters with a sign or space between each
@@ -152,24 +155,22 @@ def sentences(text: str) -> list[list[str]]:
 
 def choose_landmarks(docs: list[tuple[int, list[list[str]]]]) -> list[str]:
     """The words that speak most for a toxic document, apart from each other, and the words of clean ones that come near them."""
-    counts: dict[str, list[int]] = {}
-    totals = [0, 0]
+    counts, totals = (Counter(), Counter()), [0, 0]
     for label, text in docs:
         totals[label] += 1
         distinct = {w for s in text for w in s}
-        for w in set(letters(list(distinct))):
-            if len(w) >= 3:
-                counts.setdefault(w, [0, 0])[label] += 1
-    rate = lambda w, k: (counts[w][k] + 0.5) / (totals[k] + 1)
+        counts[label].update(w for w in set(letters(list(distinct))) if len(w) >= 3)
+    rate = lambda w, k: (counts[k][w] + 0.5) / (totals[k] + 1)
     toxic: list[str] = []
-    for w in sorted((w for w in counts if counts[w][1] >= 3), key=lambda w: (-counts[w][1] * np.log(rate(w, 1) / rate(w, 0)), w))[: 8 * LANDMARKS["toxic"]]:
+    for w in sorted((w for w in counts[1] if counts[1][w] >= 3), key=lambda w: (-counts[1][w] * np.log(rate(w, 1) / rate(w, 0)), w))[: 8 * LANDMARKS["toxic"]]:
         for piece in windows(w):
             # a word much like one that is there adds nothing
             if len(toxic) < LANDMARKS["toxic"] and (not toxic or SubsequenceKernel(toxic)([piece]).max() < APART**POWER):
                 toxic.append(piece)
     # of clean documents the words that come nearest to those
-    often = sorted((w for w in counts if counts[w][0] >= 3 and counts[w][0] > 10 * counts[w][1] * totals[0] / totals[1] / 5 and w not in set(toxic)), key=lambda w: (-counts[w][0], w))
-    near = SubsequenceKernel(toxic)(often).max(1, initial=0) if toxic else np.zeros(len(often))
+    often = sorted((w for w in counts[0] if counts[0][w] >= 3 and counts[0][w] > 10 * counts[1][w] * totals[0] / totals[1] / 5 and w not in toxic), key=lambda w: (-counts[0][w], w))
+    beside = SubsequenceKernel(toxic)
+    near = np.concatenate([np.zeros(0)] + [beside(often[k : k + WORDS]).max(1, initial=0) for k in range(0, len(often), WORDS)]) if toxic else np.zeros(len(often))
     clean = [often[k] for k in np.argsort(-near, kind="stable")[: LANDMARKS["clean"]] if near[k] > 0]
     return list(dict.fromkeys(toxic + [piece for w in clean for piece in windows(w)]))
 
@@ -233,14 +234,21 @@ def train(docs: list[tuple[int, str]]) -> tuple:
     inner = (inner + inner.T) / 2
     values, vectors = np.linalg.eigh(inner)
     half = vectors * np.where(values > 1e-6, np.maximum(values, 1e-6) ** -0.5, 0) @ vectors.T
+    # rows are held of the words that come near a landmark only, which are few
     vocabulary = sorted({w for _, text in split for s in text for w in s})
-    place = {w: k for k, w in enumerate(vocabulary)}
-    words = kernel(letters(vocabulary)) @ half
-    related = words.any(axis=1)
+    place, rows = {}, [np.zeros((0, len(landmarks)), dtype=np.float32)]
+    for start in range(0, len(vocabulary), WORDS):
+        part = vocabulary[start : start + WORDS]
+        values = kernel(letters(part))
+        near = np.flatnonzero(values.any(axis=1))
+        place.update(zip([part[k] for k in near], range(len(place), len(place) + len(near)), strict=True))
+        rows.append(values[near])
+    del vocabulary
+    words = np.concatenate(rows) @ half
     x, doc, label, times = [], [], [], []
     for k, (y, text) in enumerate(split):
         # sentences without a related word are all the same point
-        own = [at for s in text if related[at := [place[w] for w in s]].any()]
+        own = [at for s in text if (at := [place[w] for w in s if w in place])]
         x += [words[at].sum(0) for at in own] + [np.zeros(len(landmarks))]
         doc += [k] * (len(own) + 1)
         times += [1] * len(own) + [max(1, len(text) - len(own))]
@@ -257,8 +265,8 @@ def train(docs: list[tuple[int, str]]) -> tuple:
         y = np.where(toxic[use], 1.0, -1.0)
         cost = np.where(y > 0, times[~toxic].sum() / max(1, (label == 1).sum()) / 4, times[use])
         weight, bias = squared_hinge(x[use], y, cost / cost.sum())
-    own = (words @ weight).tolist()
-    rows = np.array([summary([[own[place[w]] for w in s] for s in text], bias) for _, text in split])
+    own = dict(zip(place, (words @ weight).tolist(), strict=True))
+    rows = np.array([summary([[own.get(w, 0.0) for w in s] for s in text], bias) for _, text in split])
     slope, shift = logistic(rows, label)
     return landmarks, (half @ weight).astype(np.float32), float(bias), slope, shift
 
