@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from spanweave.llm import chat_format, exact_dedup, hilbert_neighbours, jaccard_join, licenses, mix_sources, packing, pii, token_counts, toxicity
 
 
@@ -18,7 +17,6 @@ def queries() -> dict:
         "op8_ngram_jaccard": jaccard_join.op8,
         "op9_licenses": licenses.op9,
         "op10_hilbert_neighbours": hilbert_neighbours.op10,
-        "pipeline": corpus_pipeline.run,
     }
 
 
