@@ -290,7 +290,7 @@ def detect_edges(df: DataFrame, keys: list[str], at_edge, inside: Column | None
     a, b = F.when(first, F.col("lo") + 1).otherwise(F.col("lo")), F.when(last, F.col("hi") - 1).otherwise(F.col("hi"))
     piece = lambda lo, hi, v: F.struct(lo.alias("lo"), hi.alias("hi"), v.cast("boolean").alias("value"))
     start, end = at_edge(before, value), at_edge(value, after)
-    both = start | end
+    both = F.coalesce(start | end, start, end)  # of an instant either neighbour may tell
     none = F.array().cast("array<struct<lo:bigint,hi:bigint,value:boolean>>")
     pieces = F.when(point, F.array(piece(F.col("lo"), F.col("hi"), both))).otherwise(
         F.concat(F.when(first, F.array(piece(F.col("lo"), a, start))).otherwise(none), F.array(piece(a, b, within)), F.when(last, F.array(piece(b, F.col("hi"), end))).otherwise(none))

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions import intervals as iv
-from spanweave.operators import parallel, serial
+from spanweave.operators import parallel, sequences, serial
+from spanweave.relations import anchors, external_events
+from spanweave.scratch import Scratch
 from spanweave.sources.tables import event_profile, line_spans, read
 
 KEY = ["user_id"]
@@ -118,15 +120,21 @@ def violations_of_windows(spark, d):
     return high(spark, d).filter("NOT value").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("windows"), F.count("*").alias("n"))
 
 
-def register_combination(name: str, value: str, left: str = HIGH, right: str = HIGH, sql_value: str | None = None) -> None:
-    """A query over the profiles a of even events and b of odd ones, from a value that both engines understand."""
+def register_combination(name: str, value: str, source: str = HIGH, sql_value: str | None = None) -> None:
+    """A query over the profiles a of even events and b of odd ones, from a value that both engines understand. The table is read once."""
 
     def run(spark, d):
-        sides = {"a": serial.coalesce(event_profile(spark, d, left, EVEN), KEY, ["value"]), "b": serial.coalesce(event_profile(spark, d, right, ODD), KEY, ["value"])}
-        return serial.combine(sides, KEY, F.expr(value))
+        return serial.valued(serial.sweep_of_parts(two_profiles(spark, d, source), KEY, "side", ["a", "b"]), KEY, F.expr(value))
 
     QUERIES[name] = run
-    SQL[name] = f"WITH {profile_sql('a0', left, EVEN)}, {coalesce_sql('a', 'a0')}, {profile_sql('b0', right, ODD)}, {coalesce_sql('b', 'b0')}, {ATOMS_SQL}, v AS (SELECT user_id, lo, hi, {sql_value or value} AS value FROM s), k AS (SELECT * FROM v WHERE value IS NOT NULL), {coalesce_sql('o', 'k')} SELECT * FROM o"
+    SQL[name] = f"WITH {profile_sql('a0', source, EVEN)}, {coalesce_sql('a', 'a0')}, {profile_sql('b0', source, ODD)}, {coalesce_sql('b', 'b0')}, {ATOMS_SQL}, v AS (SELECT user_id, lo, hi, {sql_value or value} AS value FROM s), k AS (SELECT * FROM v WHERE value IS NOT NULL), {coalesce_sql('o', 'k')} SELECT * FROM o"
+
+
+def two_profiles(spark, d, source: str) -> DataFrame:
+    """(user_id, side, lo, hi, value): of even events (a) and of odd ones (b); one shuffle by user serves all that follows."""
+    e = read(spark, d, "events").select("user_id", "event_id", iv.micros("ts").alias("t"), F.when(F.expr(EVEN), "a").when(F.expr(ODD), "b").alias("side"), F.expr(source).alias("value")).filter("side IS NOT NULL").repartition("user_id")
+    following = F.lead("t").over(Window.partitionBy("user_id", "side").orderBy("t", "event_id"))
+    return e.select("user_id", "side", (F.col("t") * 2).alias("lo"), F.coalesce(following * 2, F.col("t") * 2 + 1).alias("hi"), "value").filter("lo < hi")
 
 
 for _name, _value in {
@@ -134,42 +142,48 @@ for _name, _value in {
     "windows_or": "a OR b",
     "windows_xor": "a <> b",
     "windows_if": "(NOT a) OR b",
-    "windows_not": "NOT a",
     "windows_add": "CASE WHEN a OR b THEN true ELSE coalesce(a, b) END",
     "windows_minus": "CASE WHEN a AND coalesce(b, false) THEN false ELSE a END",
     "assign_gaps": "coalesce(a, b)",
-    "assign_gaps_constant": "coalesce(a, false)",
+    "windows_nor": "NOT (a OR b)",
+    "windows_nand": "NOT (a AND b)",
     "profile_set": "coalesce(b, a)",
     "select_when_true": "CASE WHEN b THEN a END",
 }.items():
     register_combination(_name, _value)
-register_combination("profile_equal", "a = b", "event_type", "event_type")
-register_combination("profile_not_equal", "a <> b", "event_type", "event_type")
-register_combination("profile_zip", "concat(a, '/', b)", "event_type", "event_type", "CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN concat(a, '/', b) END")
-register_combination("profile_less_than", "a < b", "value", "value")
-register_combination("profile_greater_or_equal", "a >= b", "value", "value")
-register_combination("profile_at_most", "a <= 20", "value", "value")
-register_combination("numbers_plus", "round(a + b, 6)", "value", "value")
-register_combination("numbers_minus", "round(a - b, 6)", "value", "value")
-register_combination("numbers_times", "round(2 * a, 6)", "value", "value")
-register_combination("numbers_greatest", "greatest(a, b)", "value", "value", "CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE greatest(a, b) END")
+register_combination("profile_equal", "a = b", "event_type")
+register_combination("profile_not_equal", "a <> b", "event_type")
+register_combination("profile_zip", "concat(a, '/', b)", "event_type", "CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN concat(a, '/', b) END")
+register_combination("profile_less_than", "a < b", "value")
+register_combination("profile_greater_or_equal", "a >= b", "value")
+register_combination("numbers_plus", "round(a + b, 6)", "value")
+register_combination("numbers_minus", "round(a - b, 6)", "value")
+register_combination("numbers_greatest", "greatest(a, b)", "value", "CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE greatest(a, b) END")
 
 
 def register_one_sided(name: str, value: str, source: str = HIGH) -> None:
     """A query over the profile a of all events, from a value that needs no other profile."""
 
     def run(spark, d):
-        return serial.combine({"a": serial.coalesce(event_profile(spark, d, source), KEY, ["value"])}, KEY, F.expr(value))
+        renamed = event_profile(spark, d, source).withColumnRenamed("value", "a")
+        return serial.coalesce(renamed.select("user_id", "lo", "hi", F.expr(value).alias("value")).filter("value IS NOT NULL"), KEY)
 
     QUERIES[name] = run
     SQL[name] = f"WITH {profile_sql('a0', source)}, {coalesce_sql('a', 'a0')}, v AS (SELECT user_id, lo, hi, {value} AS value FROM (SELECT user_id, lo, hi, value AS a FROM a) AS s), k AS (SELECT * FROM v WHERE value IS NOT NULL), {coalesce_sql('o', 'k')} SELECT * FROM o"
 
 
-# The queries of these names without the ending see even events only, as their SQL does.
-register_one_sided("windows_not_all_events", "NOT a")
-register_one_sided("assign_gaps_constant_all_events", "coalesce(a, false)")
-register_one_sided("profile_at_most_all_events", "a <= 20", "value")
-register_one_sided("numbers_times_all_events", "round(2 * a, 6)", "value")
+register_one_sided("windows_not", "NOT a")
+register_one_sided("assign_gaps_constant", "coalesce(a, false)")
+register_one_sided("profile_at_most", "a <= 20", "value")
+register_one_sided("numbers_times", "round(2 * a, 6)", "value")
+register_one_sided("numbers_div", "round(a / 3, 6)", "value")
+register_one_sided("numbers_pow", "round(pow(a, 2), 4)", "value")
+register_one_sided("numbers_negate", "-a", "value")
+register_one_sided("numbers_abs", "abs(a - 20)", "value")
+register_one_sided("numbers_to_long", "CAST(floor(a) AS BIGINT)", "value")
+register_one_sided("strings_length", "length(a)", "event_type")
+register_one_sided("strings_equal_ignoring_case", "lower(a) = lower('VIEW')", "event_type")
+register_one_sided("strings_is_empty", "length(a) = 0", "event_type")
 
 
 # --- neighbours
@@ -197,33 +211,26 @@ def rising_edges(spark, d):
     return serial.changes(high(spark, d), KEY).filter("after AND NOT before").select("user_id", "lo")
 
 
-@query("starts", f"WITH {HIGH_SQL} SELECT user_id, lo, lo + 1 AS hi FROM h WHERE value")
-def starts(spark, d):
-    return high(spark, d).filter("value").select("user_id", "lo", (F.col("lo") + 1).alias("hi"))
-
-
-@query("ends", f"WITH {HIGH_SQL} SELECT user_id, hi - hi % 2 AS lo, hi - hi % 2 + 1 AS hi FROM h WHERE value")
-def ends(spark, d):
-    at = F.col("hi") - F.col("hi") % 2
-    return high(spark, d).filter("value").select("user_id", at.alias("lo"), (at + 1).alias("hi"))
-
-
 @query("keep_nth_true", f"WITH {HIGH_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY lo) AS i, row_number() OVER (PARTITION BY user_id ORDER BY lo DESC) AS j FROM h WHERE value) SELECT user_id, lo, hi, 'third' AS which FROM n WHERE i = 3 UNION ALL SELECT user_id, lo, hi, 'last' FROM n WHERE j = 1")
 def keep_nth_true(spark, d):
-    h = high(spark, d).filter("value")
-    pick = lambda n, name: serial.keep_nth(h, KEY, n).select("user_id", "lo", "hi", F.lit(name).alias("which"))
-    return pick(2, "third").unionByName(pick(-1, "last"))
+    h = high(spark, d).filter("value").withColumns({"__third": serial.nth(KEY, 2), "__last": serial.nth(KEY, -1)})
+    which = F.explode(F.filter(F.array(F.when(F.col("__third"), "third"), F.when(F.col("__last"), "last")), lambda x: x.isNotNull()))
+    return h.filter("__third OR __last").select("user_id", "lo", "hi", which.alias("which"))
 
 
-@query("min_gap_before", f"WITH {HIGH_SQL}, g AS (SELECT user_id, lo, hi, lo // 2 - lag(hi) OVER (PARTITION BY user_id ORDER BY lo) // 2 AS gap_us FROM h WHERE value) SELECT * FROM g WHERE gap_us >= {6 * HOUR}")
+@query("min_gap_before", f"WITH {HIGH_SQL}, g AS (SELECT user_id, lo, hi, lo // 2 - lag(hi) OVER (PARTITION BY user_id ORDER BY lo) // 2 AS gap_us FROM h WHERE value) SELECT * FROM g WHERE gap_us IS NULL OR gap_us >= {6 * HOUR}")
 def min_gap_before(spark, d):
-    gap = F.shiftright("lo", 1) - F.shiftright(F.lag("hi").over(serial.by_key(KEY, "lo")), 1)
-    return high(spark, d).filter("value").withColumn("gap_us", gap).filter(F.col("gap_us") >= 6 * HOUR).select("user_id", "lo", "hi", "gap_us")
+    h = high(spark, d).filter("value").withColumn("gap_us", sequences.gap_before(KEY))
+    return h.filter(F.col("gap_us").isNull() | (F.col("gap_us") >= 6 * HOUR)).select("user_id", "lo", "hi", "gap_us")
+
+
+COMPLEMENT_SQL = f"""w AS (SELECT user_id, greatest(lo, {BOUNDS[0]}) AS lo, least(hi, {BOUNDS[1]}) AS hi FROM h WHERE value AND lo < {BOUNDS[1]} AND hi > {BOUNDS[0]} UNION ALL SELECT DISTINCT user_id, {BOUNDS[0]}, {BOUNDS[0]} FROM events UNION ALL SELECT DISTINCT user_id, {BOUNDS[1]}, {BOUNDS[1]} FROM events),
+g AS (SELECT user_id, max(hi) OVER (PARTITION BY user_id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo, lo AS hi FROM w)"""
 
 
-@query("complement", f"WITH {HIGH_SQL}, w AS (SELECT user_id, lo, hi FROM h WHERE value), g AS (SELECT user_id, coalesce(lag(hi) OVER (PARTITION BY user_id ORDER BY lo), {BOUNDS[0]}) AS lo, lo AS hi FROM w UNION ALL SELECT user_id, max(hi), {BOUNDS[1]} FROM w GROUP BY user_id) SELECT * FROM g WHERE lo < hi")
+@query("complement", f"WITH {HIGH_SQL}, {COMPLEMENT_SQL} SELECT * FROM g WHERE lo < hi")
 def complement(spark, d):
-    return serial.complement(high(spark, d).filter("value"), KEY, BOUNDS)
+    return serial.complement(high(spark, d).filter("value"), KEY, BOUNDS, read(spark, d, "events"))
 
 
 @query("shift_edges", f"WITH {HIGH_SQL} SELECT user_id, lo + {2 * HOUR} AS lo, hi - {2 * HOUR} AS hi FROM h WHERE value AND lo + {2 * HOUR} < hi - {2 * HOUR}")
@@ -267,25 +274,18 @@ def accumulated_duration(spark, d):
     return line_spans(spark, d).groupBy("l_suppkey").agg(F.sum(us).alias("total_us"), F.max(us).alias("longest_us"), F.count("*").alias("spans"))
 
 
-@query("rolling_threshold_excess", f"WITH o AS ({delta_sql('1')}) SELECT l_suppkey, lo, hi, value FROM o WHERE value > (SELECT 1.5 * avg(value) FROM o)")
-def rolling_threshold_excess(spark, d):
+@query("busier_than_average", f"WITH o AS ({delta_sql('1')}) SELECT l_suppkey, lo, hi, value FROM o WHERE value > (SELECT 1.5 * avg(value) FROM o)")
+def busier_than_average(spark, d):
     active = count_active(spark, d)
     return active.crossJoin(F.broadcast(active.agg((1.5 * F.avg("value")).alias("__most")))).filter("value > __most").drop("__most")
 
 
-@query("forbidden_overlap", f"WITH {SPANS_SQL} SELECT a.l_suppkey, a.l_orderkey AS l_order, b.l_orderkey AS r_order, a.l_linenumber AS l_line, b.l_linenumber AS r_line, greatest(a.lo, b.lo) AS lo, least(a.hi, b.hi) AS hi FROM spans a JOIN spans b ON a.l_suppkey = b.l_suppkey AND a.lo < b.hi AND b.lo < a.hi WHERE a.l_orderkey < b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 1")
-def forbidden_overlap(spark, d):
-    ones = line_spans(spark, d).filter("l_linenumber = 1")
-    pairs = parallel.range_join(ones, ones, SUPPLIER, 120 * DAY).filter("l_l_orderkey < r_l_orderkey")
-    return pairs.select("l_suppkey", F.col("l_l_orderkey").alias("l_order"), F.col("r_l_orderkey").alias("r_order"), F.col("l_l_linenumber").alias("l_line"), F.col("r_l_linenumber").alias("r_line"), F.greatest("l_lo", "r_lo").alias("lo"), F.least("l_hi", "r_hi").alias("hi"))
-
-
 #: Order and line numbers repeat, so a row's number within them tells its spans apart
 NUMBERED_SQL = "num AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_orderkey, l_linenumber ORDER BY lo, hi) AS n FROM spans)"
 
 
-@query("forbidden_overlap_all_lines", f"WITH {SPANS_SQL}, {NUMBERED_SQL} SELECT a.l_suppkey, a.l_orderkey AS l_order, b.l_orderkey AS r_order, a.l_linenumber AS l_line, b.l_linenumber AS r_line, greatest(a.lo, b.lo) AS lo, least(a.hi, b.hi) AS hi FROM num a JOIN num b ON a.l_suppkey = b.l_suppkey AND a.lo < b.hi AND b.lo < a.hi WHERE (a.l_orderkey, a.l_linenumber, a.n) < (b.l_orderkey, b.l_linenumber, b.n)")
-def forbidden_overlap_all_lines(spark, d):
+@query("forbidden_overlap", f"WITH {SPANS_SQL}, {NUMBERED_SQL} SELECT a.l_suppkey, a.l_orderkey AS l_order, b.l_orderkey AS r_order, a.l_linenumber AS l_line, b.l_linenumber AS r_line, greatest(a.lo, b.lo) AS lo, least(a.hi, b.hi) AS hi FROM num a JOIN num b ON a.l_suppkey = b.l_suppkey AND a.lo < b.hi AND b.lo < a.hi WHERE (a.l_orderkey, a.l_linenumber, a.n) < (b.l_orderkey, b.l_linenumber, b.n)")
+def forbidden_overlap(spark, d):
     """Every pair of overlapping spans of a supplier once, those of one order and of repeated line numbers too."""
     return overlapping_pairs(line_spans(spark, d))
 
@@ -316,12 +316,19 @@ def connect_to(spark, d):
 # --- relations of plans
 
 
-@query("derived_events", """WITH e AS (SELECT event_id % 500 AS event_key, user_id % 20 AS derivation_group, event_id % 7 AS source_key, epoch_us(ts) AS valid_at, event_id FROM events)
-SELECT event_key, derivation_group, source_key, event_id FROM e QUALIFY row_number() OVER (PARTITION BY event_key, derivation_group ORDER BY valid_at DESC, event_id DESC) = 1""")
+#: Sources of a group, a day each and the later ones over the earlier: source k of seven covers days k to k + 3 and is valid from k on
+SOURCES_SQL = f"""src AS (SELECT g AS derivation_group, k AS source_key, k AS valid_at, ({AT} + (k - 3) * {DAY}) * 2 AS lo, ({AT} + k * {DAY}) * 2 AS hi FROM range(20) AS a(g), range(7) AS b(k)),
+ev AS (SELECT event_id % 500 AS event_key, event_id % 7 AS source_key, user_id % 20 AS derivation_group, epoch_us(ts) * 2 AS lo, event_id FROM events)"""
+
+
+@query("derived_events", f"""WITH {SOURCES_SQL}, own AS (SELECT ev.*, src.valid_at FROM ev JOIN src USING (source_key, derivation_group) WHERE src.lo <= ev.lo AND ev.lo < src.hi),
+fine AS (SELECT * FROM own WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.derivation_group = own.derivation_group AND src.valid_at > own.valid_at AND src.lo <= own.lo AND own.lo < src.hi))
+SELECT event_key, derivation_group, source_key, lo, event_id FROM fine QUALIFY row_number() OVER (PARTITION BY event_key, derivation_group ORDER BY valid_at DESC, source_key DESC, lo DESC, event_id DESC) = 1""")
 def derived_events(spark, d):
-    e = read(spark, d, "events").select((F.col("event_id") % 500).alias("event_key"), (F.col("user_id") % 20).alias("derivation_group"), (F.col("event_id") % 7).alias("source_key"), iv.micros("ts").alias("valid_at"), "event_id")
-    newest = F.max_by(F.struct("source_key", "event_id"), F.struct("valid_at", "event_id"))
-    return e.groupBy("event_key", "derivation_group").agg(newest.alias("x")).select("event_key", "derivation_group", "x.*")
+    events = read(spark, d, "events").select((F.col("event_id") % 500).alias("event_key"), (F.col("event_id") % 7).alias("source_key"), (F.col("user_id") % 20).alias("derivation_group"), (iv.micros("ts") * 2).alias("lo"), "event_id")
+    k = spark.range(20).select(F.col("id").alias("derivation_group"), F.explode(F.sequence(F.lit(0), F.lit(6))).cast("long").alias("k"))
+    sources = k.select("derivation_group", F.col("k").alias("source_key"), F.col("k").alias("valid_at"), ((F.col("k") - 3) * DAY * 2 + 2 * AT).alias("lo"), (F.col("k") * DAY * 2 + 2 * AT).alias("hi"))
+    return external_events.derived_events(events, sources)
 
 
 MERGE_SQL = """WITH base AS (SELECT p_partkey AS id, p_size AS v FROM part WHERE p_partkey % 11 <> 0),
@@ -347,11 +354,11 @@ def merge_conflicts(spark, d):
     return merge_diff(spark, d).filter("outcome = 'conflict'").select("id")
 
 
-@query("anchor_net_offset", "WITH RECURSIVE t AS (SELECT p_partkey AS id, p_size AS net, 0 AS depth FROM part WHERE p_partkey = 1 UNION ALL SELECT p_partkey, net + p_size, depth + 1 FROM part JOIN t ON p_partkey // 2 = t.id AND p_partkey > 1) SELECT id, CAST(net AS BIGINT) AS net, depth FROM t")
+@query("anchor_net_offset", "WITH RECURSIVE t AS (SELECT p_partkey AS id, p_size AS net, 0 AS depth FROM part WHERE p_partkey // 2 NOT IN (SELECT p_partkey FROM part) OR p_partkey // 2 = p_partkey UNION ALL SELECT p_partkey, net + p_size, depth + 1 FROM part JOIN t ON p_partkey // 2 = t.id AND p_partkey // 2 <> p_partkey) SELECT id, CAST(net AS BIGINT) AS net, CAST(depth AS BIGINT) AS depth FROM t")
 def anchor_net_offset(spark, d):
-    """Anchors form a tree (id div 2 is the parent): offsets add up along it."""
-    read(spark, d, "part").selectExpr("p_partkey AS id", "p_partkey div 2 AS anchor", "CAST(p_size AS BIGINT) AS off").createOrReplaceTempView("spanweave_anchors")
-    return spark.sql("WITH RECURSIVE t(id, net, depth) AS (SELECT id, off, 0 FROM spanweave_anchors WHERE id = 1 UNION ALL SELECT a.id, t.net + a.off, t.depth + 1 FROM spanweave_anchors a JOIN t ON a.anchor = t.id AND a.id > 1) SELECT id, net, depth FROM t")
+    """Anchors form trees (id div 2 is the parent): offsets add up along them."""
+    parts = read(spark, d, "part").selectExpr("p_partkey AS id", "nullif(p_partkey div 2, p_partkey) AS anchor_id", "CAST(p_size AS BIGINT) AS offset_us")
+    return anchors.jumped(parts, Scratch(spark)).select("id", F.col("net_us").alias("net"), "depth")
 
 
 @query("sequence_filter", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE lower(event_type) = 'purchase' AND CAST(json_extract_string(props, '$.k') AS BIGINT) BETWEEN 20 AND 60")

@@ -19,6 +19,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Folders of this process that still hold tables, by session
+FOLDERS: list[str] = []
+
+
+def mark() -> int:
+    """A place in the list of folders, for release."""
+    return len(FOLDERS)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables of all operator runs since a mark: once nothing that reads them will be run again."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in FOLDERS[since:]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    del FOLDERS[since:]
+
+
 class Scratch:
     """Parquet tables of one operator run under the shared folder.
 
@@ -30,6 +48,7 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/spanweave-{uuid.uuid4().hex}"
         self.count = 0
+        FOLDERS.append(self.folder)
 
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
