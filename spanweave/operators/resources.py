@@ -109,7 +109,7 @@ def sampled_at(df: DataFrame, keys: list[str], period_us: int) -> DataFrame:
     """(keys, t_us, value) at multiples of a period."""
     first, last = F.ceil(F.shiftright("lo", 1) / period_us), F.floor((F.shiftright(F.col("hi") - 1, 1)) / period_us)
     at = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>"))
-    return df.withColumn("t_us", F.explode(at) * period_us).select(*keys, "t_us", evaluate(F.col("value"), F.col("t_us")).alias("value"))
+    return df.withColumn("__n", F.explode(at)).withColumn("t_us", F.col("__n") * period_us).select(*keys, "t_us", evaluate(F.col("value"), F.col("t_us")).alias("value"))
 
 
 def approximate_as_linear(df: DataFrame, keys: list[str], period_us: int) -> DataFrame:
@@ -311,7 +311,7 @@ def sampled(df: DataFrame, keys: list[str], period_us: int) -> DataFrame:
     """A step profile of the values at multiples of a period, each held until the next."""
     first, last = F.ceil(F.shiftright("lo", 1) / period_us), F.floor(F.shiftright(F.col("hi") - 1, 1) / period_us)
     at = F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>")))
-    points = df.select(*keys, "value", (at * period_us).alias("t"))
+    points = df.select(*keys, "value", at.alias("__n")).withColumn("t", F.col("__n") * period_us)
     return serial.coalesce(points.select(*keys, (F.col("t") * 2).alias("lo"), ((F.col("t") + period_us) * 2).alias("hi"), "value"), keys)
 
 
