@@ -16,7 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def python_ready(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that Python workers receive, and lets workers on this machine import this package."""
+    """Bounds the Arrow batches that Python workers receive, and lets workers on this machine import this package.
+
+    The bound stays set in the session, since plans read it when they run, long after the operator has returned.
+    """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
