@@ -60,5 +60,5 @@ def test_one_sided_operators_see_odd_events(spark, tmp_path):
     spark.createDataFrame([(k, 1, at[k], values[k]) for k in range(4)], "event_id long, user_id long, ts timestamp, value double").write.parquet(f"{tmp_path}/events.parquet")
     wanted = {"windows_not": [True, False, True, False], "assign_gaps_constant": [False, True, False, True], "profile_at_most": [True, False, True, False], "numbers_times": [20.0, 100.0, 24.0, 120.0]}
     for name, own in wanted.items():
-        found = catalogue.QUERIES[f"{name}_all_events"](spark, str(tmp_path)).orderBy("lo").collect()
+        found = catalogue.QUERIES[f"{name}"](spark, str(tmp_path)).orderBy("lo").collect()
         assert [r["value"] for r in found] == own and all(a["hi"] == b["lo"] for a, b in zip(found, found[1:]))
