@@ -326,7 +326,7 @@ fine AS (SELECT * FROM own WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.derivat
 SELECT event_key, derivation_group, source_key, lo, event_id FROM fine QUALIFY row_number() OVER (PARTITION BY event_key, derivation_group ORDER BY valid_at DESC, source_key DESC, lo DESC, event_id DESC) = 1""")
 def derived_events(spark, d):
     events = read(spark, d, "events").select((F.col("event_id") % 500).alias("event_key"), (F.col("event_id") % 7).alias("source_key"), (F.col("user_id") % 20).alias("derivation_group"), (iv.micros("ts") * 2).alias("lo"), "event_id")
-    k = spark.range(20).select(F.col("id").alias("derivation_group"), F.explode(F.sequence(F.lit(0), F.lit(6))).cast("long").alias("k"))
+    k = spark.range(20).select(F.col("id").alias("derivation_group"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(6).cast("long"))).alias("k"))
     sources = k.select("derivation_group", F.col("k").alias("source_key"), F.col("k").alias("valid_at"), ((F.col("k") - 3) * DAY * 2 + 2 * AT).alias("lo"), (F.col("k") * DAY * 2 + 2 * AT).alias("hi"))
     return external_events.derived_events(events, sources)
 
