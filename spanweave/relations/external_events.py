@@ -31,10 +31,11 @@ def derived_events(events: DataFrame, sources: DataFrame) -> DataFrame:
     sources: (source_key, derivation_group, valid_at, lo, hi), ranges without their ends.
     """
     own = events.join(sources.select("source_key", "derivation_group", F.col("valid_at").alias("__valid"), F.col("lo").alias("__from"), F.col("hi").alias("__to")), ["source_key", "derivation_group"]).filter("__from <= lo AND lo < __to")
-    points = own.select("derivation_group", "event_key", "source_key", F.col("__valid").alias("valid"), "lo", (F.col("lo") + 1).alias("hi"))
+    # events of one key and source may start at several times, of which a later source covers some
+    points = own.select("derivation_group", F.col("__valid").alias("valid"), "lo", (F.col("lo") + 1).alias("hi")).distinct()
     ranges = sources.select("derivation_group", F.col("valid_at").alias("valid"), "lo", "hi")
-    covered = parallel.overlap_join(points, ranges, ["derivation_group"]).filter("r_valid > l_valid").select("derivation_group", F.col("l_event_key").alias("event_key"), F.col("l_source_key").alias("source_key")).distinct()
-    valid = own.join(covered, ["derivation_group", "event_key", "source_key"], "left_anti")
+    covered = parallel.overlap_join(points, ranges, ["derivation_group"]).filter("r_valid > l_valid").select("derivation_group", F.col("l_valid").alias("__valid"), F.col("l_lo").alias("lo")).distinct()
+    valid = own.join(covered, ["derivation_group", "__valid", "lo"], "left_anti")
     rest = [c for c in valid.columns if c not in ("event_key", "derivation_group")]
     # of one source and key the row that comes last in all columns, so that the choice is the same each time
     newest = F.max_by(F.struct(*rest), F.struct("__valid", "source_key", "lo", *[c for c in rest if c not in ("source_key", "lo") and not c.startswith("__")]))

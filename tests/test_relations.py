@@ -78,6 +78,9 @@ def test_later_sources_replace_ranges(quick):
     sources = quick.createDataFrame([("s1", "g", 1, 0, 100), ("s2", "g", 2, 50, 80), ("s3", "h", 3, 0, 100)], "source_key string, derivation_group string, valid_at long, lo long, hi long")
     events = quick.createDataFrame([("a", "s1", "g", 10), ("b", "s1", "g", 50), ("c", "s1", "g", 80), ("c", "s2", "g", 79), ("d", "s2", "g", 80), ("a", "s3", "h", 60)], "event_key string, source_key string, derivation_group string, lo long")
     assert rows(external_events.derived_events(events, sources), "event_key", "derivation_group", "source_key", "lo") == [("a", "g", "s1", 10), ("a", "h", "s3", 60), ("c", "g", "s2", 79)]
+    # of one key and source an event may be covered and another not
+    twice = events.unionByName(quick.createDataFrame([("b", "s1", "g", 90)], events.schema))
+    assert rows(external_events.derived_events(twice.filter("event_key = 'b'"), sources), "event_key", "source_key", "lo") == [("b", "s1", 90)]
     assert rows(external_events.later_ranges(sources), "source_key", "lo", "hi") == [("s1", 0, 50), ("s1", 80, 100), ("s2", 50, 80), ("s3", 0, 100)]
     typed = events.withColumn("event_type", F.upper("event_key"))
     assert external_events.EventQuery(["g"], ["A", "C"], [("s1", "g")]).apply(typed).count() == 2 and external_events.EventQuery().apply(typed).count() == 6 and external_events.EventQuery(sources=[]).apply(typed).count() == 0
