@@ -146,8 +146,9 @@ def filter_by_windows(spans: DataFrame, windows: DataFrame, keys: list[str], tru
     cover = serial.union_of(windows, keys)
     if truncate:
         return select_when_true(spans, cover.withColumn("value", F.lit(True)), keys)
-    pairs = overlap_join(spans.withColumn("__row", F.monotonically_increasing_id()), cover, keys)
-    return pairs.dropDuplicates([*keys, "l___row"]).select(*keys, *[F.col(f"l_{c}").alias(c) for c in spans.columns if c not in keys])
+    # whether a row meets one hangs on its key and ends alone; numbers of rows would differ from one reading of spans to the next
+    meeting = overlap_join(spans.select(*keys, "lo", "hi").distinct(), cover, keys).select(*keys, F.col("l_lo").alias("lo"), F.col("l_hi").alias("hi")).distinct()
+    return spans.join(meeting, [*keys, "lo", "hi"], "left_semi").select(*keys, *[c for c in spans.columns if c not in keys])
 
 
 def flatten_into_profile(segments: DataFrame, keys: list[str]) -> DataFrame:
