@@ -180,17 +180,25 @@ def highlight_equal(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return compare(left, right, keys, "==").filter("value").select(*keys, "lo", "hi")
 
 
+def jumps(before: Column, after: Column, t: Column) -> Column:
+    """Whether two lines are further apart at t than rounding moves lines that meet there: a rate and a value take up to eight roundings of 2**-53."""
+    a, b = value_at(before, t), value_at(after, t)
+    size = lambda v: F.abs(v["v0"]) + F.abs(v["rate"] * (t - v["t0"]) / F.lit(1e6))
+    rounding = (size(before) + size(after)) * F.lit(2.0**-50)
+    return (a != b) & ~((F.abs(a - b) <= rounding) & (rounding < float("inf")))
+
+
 def changes(df: DataFrame, keys: list[str]) -> DataFrame:
     """True while the value changes and at jumps, false elsewhere; a segment's first instant is unknown after a gap."""
-    return edges(df, keys, lambda before, after, t: value_at(before, t) != value_at(after, t), F.col("value.rate") != 0)
+    return edges(df, keys, jumps, F.col("value.rate") != 0)
 
 
 def increases(df: DataFrame, keys: list[str]) -> DataFrame:
-    return edges(df, keys, lambda before, after, t: value_at(before, t) < value_at(after, t), F.col("value.rate") > 0)
+    return edges(df, keys, lambda before, after, t: jumps(before, after, t) & (value_at(before, t) < value_at(after, t)), F.col("value.rate") > 0)
 
 
 def decreases(df: DataFrame, keys: list[str]) -> DataFrame:
-    return edges(df, keys, lambda before, after, t: value_at(before, t) > value_at(after, t), F.col("value.rate") < 0)
+    return edges(df, keys, lambda before, after, t: jumps(before, after, t) & (value_at(before, t) > value_at(after, t)), F.col("value.rate") < 0)
 
 
 def edges(df: DataFrame, keys: list[str], test, body: Column) -> DataFrame:

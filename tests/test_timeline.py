@@ -2,9 +2,10 @@ import random
 from itertools import product
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 import __spark_entry__
-from spanweave.operators import parallel, serial
+from spanweave.operators import linear, parallel, serial
 from spanweave.plans import catalogue
 
 
@@ -74,3 +75,14 @@ def test_spans_that_meet_windows_in_any_order(quick):
     windows = quick.createDataFrame([(k, lo, lo + 16) for k in range(2) for lo in range(0, 3000, 64)], "k long, lo long, hi long")
     want = sorted(r for r in rows if r[0] < 2 and any(r[1] < lo + 16 and lo < r[2] for lo in range(0, 3000, 64)))
     assert sorted(tuple(r) for r in parallel.filter_by_windows(spans, windows, ["k"], truncate=False).select("k", "lo", "hi", "n").collect()) == want
+
+
+def test_lines_that_meet_do_not_jump(quick):
+    """From v0 to v1 in three seconds, then level: the rate's rounding is no change at the joint, a real jump is one."""
+    v0, v1 = 0.1, 0.3
+    pieces = quick.createDataFrame([(1, 0, 6_000_000, v0, (v1 - v0) / 3.0), (1, 6_000_000, 9_000_000, v1, 0.0), (1, 9_000_000, 12_000_000, v1 + 1e-9, 0.0)], "k long, lo long, hi long, v0 double, rate double")
+    lines = pieces.select("k", "lo", "hi", linear.line(F.shiftright("lo", 1), F.col("v0"), F.col("rate")).alias("value"))
+    assert v0 + (v1 - v0) / 3.0 * 3e6 / 1e6 != v1
+    assert sorted(tuple(r) for r in linear.changes(lines, ["k"]).select("lo", "hi", "value").collect()) == [(1, 6_000_000, True), (6_000_000, 9_000_000, False), (9_000_000, 9_000_001, True), (9_000_001, 12_000_000, False)]
+    rising, falling = (sorted(r["lo"] for r in f(lines, ["k"]).filter("value").collect()) for f in (linear.increases, linear.decreases))
+    assert rising == [1, 9_000_000] and falling == []
