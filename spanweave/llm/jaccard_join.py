@@ -41,8 +41,8 @@ from spanweave.scratch import Scratch
 WORDS, PERCENT = 4, 85
 #: Members below which a signature is left out, and spare groups for that, and for signatures of many sets, as shares of the groups needed
 FEW, SPARE, SHARED = 1, 0.12, 0.12
-#: Sets of a signature whose pairs are candidates one by one, and whose sketches are compared in one place
-SMALL, MEDIUM = 16, 2048
+#: Sets of a signature whose pairs are candidates one by one, and whose sketches, of no more bytes than the last, are compared in one place
+SMALL, MEDIUM, HELD = 16, 1 << 16, 1 << 26
 #: Sets in a block, tasks in which a component's nodes learn of its blocks, bits of a parity sketch of up to so many members, bits of the filter that finds candidates' texts again
 BLOCK, SALTS, SKETCH, FILTER_BITS = 512, 64, 1024, 1 << 23
 #: Bytes that a worker hashes at a time, texts that it remembers, and signature rows that it looks through at a time
@@ -325,33 +325,41 @@ def ties_by_sketch(rows: DataFrame, percent: int) -> DataFrame:
 
     def of_group(held):
         node, n, bits = zip(*held, strict=True)
-        n, sk = np.array(n), folded(bits, min(map(len, bits)))
-        root = np.arange(len(n))
-        for a in range(len(n) - 1):
-            far = np.flatnonzero(root[a + 1 :] != root[a]) + a + 1
-            if not len(far):
-                continue
-            m = n[far]
-            fine = 100 * np.minimum(m, n[a]) >= percent * np.maximum(m, n[a])
-            fine &= np.bitwise_count(sk[far] ^ sk[a]).sum(1, dtype=np.int64) <= (m + n[a]) * (100 - percent) // (100 + percent)
-            for b in far[fine].tolist():
-                if root[b] != root[a]:
-                    root[root == root[b]] = root[a]
-                    yield node[b], node[a]
+        n, sk = np.array(n, dtype=np.int64), folded(bits, min(map(len, bits)))
+        few = max(1, sk.shape[1] // 4)
+        # sets that nothing has reached yet, in order of size; each set that is reached looks among them once
+        ahead, size, rest, reached = np.arange(len(n)), n, sk, []
+        while len(ahead):
+            if reached:
+                a = reached.pop()
+            else:
+                a, ahead, size, rest = ahead[0], ahead[1:], size[1:], rest[1:]
+            low, high = np.searchsorted(size, -(-percent * n[a] // 100)), np.searchsorted(size, 100 * n[a] // percent, side="right")
+            most = (size[low:high] + n[a]) * (100 - percent) // (100 + percent)
+            # a part of the bits bounds the distance from below as all of them do
+            k = np.flatnonzero(np.bitwise_count(rest[low:high, :few] ^ sk[a, :few]).sum(1, dtype=np.int64) <= most)
+            k = k[np.bitwise_count(rest[k + low] ^ sk[a]).sum(1, dtype=np.int64) <= most[k]] + low
+            if len(k):
+                reached += ahead[k].tolist()
+                yield from ((node[b], node[a]) for b in ahead[k].tolist())
+                left = np.ones(len(ahead), dtype=bool)
+                left[k] = False
+                ahead, size, rest = ahead[left], size[left], rest[left]
 
     def run(batches):
-        key, held, large = None, [], False
+        key, held, large, room = None, [], False, HELD
         for batch in batches:
             out = []
             for sig, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if sig != key:
                     out += of_group(held) if held else []
-                    key, held, large = sig, [], False
+                    key, held, large, room = sig, [], False, HELD
                 if large:
                     out.append((row[0], held[0][0]))
                     continue
                 held.append(row)
-                if len(held) > MEDIUM:
+                room -= len(row[2])
+                if len(held) > MEDIUM or room < 0:
                     out += [(r[0], held[0][0]) for r in held[1:]]
                     held, large = held[:1], True
             if out:

@@ -37,11 +37,17 @@ def release(spark: SparkSession, since: int = 0) -> None:
     del FOLDERS[since:]
 
 
+#: Whether the shuffle files of a query go when the query ends, rather than when the driver happens to collect its garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Parquet tables of one operator run under the shared folder.
 
     A written table survives lost executors, prunes columns when it is read
-    again and can be dropped as soon as nothing reads it any more.
+    again and can be dropped as soon as nothing reads it any more. What was
+    shuffled for it is deleted at once, so that the disk holds the files of
+    one table's query and not those of all before it.
     """
 
     def __init__(self, spark: SparkSession):
@@ -53,7 +59,12 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/t{self.count}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before) if before is not None else self.spark.conf.unset(CLEANUP)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

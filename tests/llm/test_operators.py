@@ -189,6 +189,31 @@ def test_frequent_signatures(spark, monkeypatch):
         assert {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(df, words=5, percent=80).collect()} == root
 
 
+def test_sets_of_a_frequent_signature_stay_apart(spark):
+    """More sets than 2,048 that share a signature but are far apart: no ties, so no component of all of them to compare block by block."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, 60, dtype=np.uint64) for _ in range(2500)]
+    near = np.append(sets[7][1:], np.uint64(5))
+    rows = [(1, k, 60, jaccard_join.sketch(x)) for k, x in enumerate([*sets, near])]
+    ties = jaccard_join.ties_by_sketch(spark.createDataFrame(rows, "sig long, node long, n long, sketch binary").coalesce(1), 80).collect()
+    assert [tuple(r) for r in ties] == [(2500, 7)]
+
+
+def test_scratch_tables_keep_no_shuffles(spark, monkeypatch):
+    """While a table is written, Spark is told to delete what is shuffled for it; then the session's setting is as before."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from spanweave import scratch
+
+    before, seen, write = spark.conf.get(scratch.CLEANUP, None), [], DataFrame.write.fget
+    monkeypatch.setattr(DataFrame, "write", property(lambda df: (seen.append(spark.conf.get(scratch.CLEANUP)), write(df))[1]))
+    assert scratch.Scratch(spark).save(spark.range(1000).repartition(3, "id")).count() == 1000
+    assert seen == ["true"] and spark.conf.get(scratch.CLEANUP, None) == before
+
+
+
 def test_pii(awkward):
     assert pii.find_pii(awkward).count() == len(AWKWARD)
 
